@@ -97,7 +97,9 @@ def _numeric_reference(ref: Column) -> Column:
 def decode_entities(c: Column) -> Column:
     """Replace numeric references and the HTML 4 named entities in one left-to-right pass."""
     codes = dict(sorted(name2codepoint.items()), apos=ord("'"))
-    names = F.create_map(*[F.lit(x) for name, code in codes.items() for x in (f"&{name};", chr(code))])
+    # One literal that Catalyst folds into a map, instead of one literal for each entry.
+    pairs = "\n".join(f"&{name};\t{chr(code)}" for name, code in codes.items())
+    names = F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("\t"))
 
     def one(ref: Column) -> Column:
         named = F.coalesce(F.try_element_at(names, ref), ref)
