@@ -49,7 +49,21 @@ def size_text(width: Column, height: Column) -> Column:
 
 
 def two_decimals(c: Column) -> Column:
-    return F.format_string("%.2f", c)
+    """A non-negative DOUBLE with two decimals, rounded from its exact binary value, ties to even.
+
+    ``format_string`` rounds the shortest decimal form half up instead (1.125 to 1.13, 1.005 to 1.01). Here the rounding
+    error of ``100 * c`` is recovered by splitting ``c`` into two halves of its mantissa.
+    """
+    scaled = c * 100
+    split = c * F.lit(float(2**27 + 1))
+    high = split - (split - c)
+    error = (high * 100 - scaled) + (c - high) * 100
+    whole = F.floor(scaled)
+    rest = scaled - whole
+    odd = whole % 2 == 1
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & odd)))
+    cents = whole + up.cast("bigint")
+    return F.when(c.isNotNull(), F.format_string("%d.%02d", F.floor(cents / 100), cents % 100))
 
 
 def has_tags(tags: Column) -> Column:

@@ -23,12 +23,13 @@ _SPACE = r"\s\x1c-\x1f"
 _RAW_ELEMENTS = "script|style"
 _HIDDEN_ELEMENTS = "template|rt|rp"
 _NON_TEXT = (
-    r"(?isU)<!--.*?-->"
+    r"(?isU)<!--.*?(?:-->|\z)"
     rf"|<({_RAW_ELEMENTS})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
     rf"|<({_HIDDEN_ELEMENTS})(?=[\s/>])[^>]*>.*?</\2\s*>"
 )
-# A start tag may hold ``>`` inside quoted attribute values; the second pattern takes what has unbalanced quotes.
-_QUOTED_TAG = r"""<[A-Za-z_:][^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
+# A start tag may hold ``>`` inside quoted attribute values. The second pattern takes what has unbalanced quotes or very
+# many attributes: the bound keeps the recursion of the regex engine shallow.
+_QUOTED_TAG = r"""<[A-Za-z_:][^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+){0,200}+>"""
 _PLAIN_TAG = r"</?[A-Za-z_:][^>]*>|</?[!?][^>]*>"
 _ENTITY = r"&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;"
 

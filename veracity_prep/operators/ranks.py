@@ -31,7 +31,7 @@ def hashed_ranks(
     """
     groups = list(groups)
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_column).cast("string")))
-    units = df.groupBy(*groups, id_column).agg(F.count(F.lit(1)).alias("copies")).withColumn("_hash", digest)
+    units = df.groupBy(*groups, id_column).agg(F.count(F.lit(1)).alias("copies"))
 
     large = (
         df.groupBy(*groups)
@@ -41,23 +41,24 @@ def hashed_ranks(
     )
     if few_groups:
         large = F.broadcast(large)
-    prefix = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
-    # The explicit repartition keeps the slices of one group apart: the partitioning of the join by group would
-    # otherwise satisfy the window and bring a whole group into one task.
-    sliced = (
-        units.join(large, groups, "left")
-        .withColumn("_slice", F.coalesce(F.shiftright(prefix * F.col("_slices"), 32), F.lit(0).cast("bigint")))
-        .repartition(*groups, "_slice")
+    prefix = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    tagged = units.join(large, groups, "left").withColumn(
+        "_slice", F.coalesce(F.shiftright(prefix * F.col("_slices"), 32), zero)
     )
-    slice_rows = sliced.where("_slices is not null").groupBy(*groups, "_slice").agg(F.sum("copies").alias("_rows"))
+    slice_rows = tagged.where("_slices is not null").groupBy(*groups, "_slice").agg(F.sum("copies").alias("_rows"))
     before = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = slice_rows.select(*groups, "_slice", F.sum("_rows").over(before).alias("_offset"))
 
     part = Window.partitionBy(*groups, "_slice")
     earlier = part.orderBy("_hash", id_column).rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
+    # The explicit repartition keeps the slices of one group apart: the partitioning of the join by group would
+    # otherwise satisfy the window and bring a whole group into one task. The hash is computed again behind it
+    # rather than shuffled.
     ranked = (
-        sliced.withColumn("_in_slice", F.coalesce(F.sum("copies").over(earlier), zero))
+        tagged.repartition(*groups, "_slice")
+        .withColumn("_hash", digest)
+        .withColumn("_in_slice", F.coalesce(F.sum("copies").over(earlier), zero))
         .withColumn("group_rows", F.coalesce("_group_rows", F.sum("copies").over(part)))
         .join(offsets, [*groups, "_slice"], "left")
     )
