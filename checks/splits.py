@@ -154,8 +154,9 @@ def approximate_split_by_hash(t):
 
 
 # Copies: every third id five times, and one id as often as all others together.
-COPIED = f"""SELECT id, source, label, dataset FROM ({SPLIT_ITEMS}) s JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k UNION ALL SELECT 2 AS k
-        UNION ALL SELECT 3 AS k UNION ALL SELECT 4 AS k) c ON c.k = 0 OR CAST(s.id AS BIGINT) % 3 = 0
+COPIED = f"""SELECT id, source, label, dataset FROM ({SPLIT_ITEMS}) s JOIN (SELECT 0 AS r, 0 AS k UNION ALL SELECT 0 AS r, 1 AS k
+        UNION ALL SELECT 0 AS r, 2 AS k UNION ALL SELECT 0 AS r, 3 AS k UNION ALL SELECT 0 AS r, 4 AS k
+        UNION ALL SELECT 1 AS r, 0 AS k UNION ALL SELECT 2 AS r, 0 AS k) c ON c.r = CAST(s.id AS BIGINT) % 3
     UNION ALL SELECT '0' AS id, 'src0' AS source, 'true' AS label, 'documents' AS dataset FROM {{documents}}"""
 
 

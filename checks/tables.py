@@ -135,7 +135,8 @@ ARTICLE_IMAGES = """
         concat('/raw/', CAST(p.page_id AS STRING), '/img_', CAST(k.k AS STRING), '.jpg') AS original_path,
         concat('/done/', CAST(p.page_id AS STRING), '_img_', CAST(k.k AS STRING), '.jpg') AS processed_path,
         CAST(100 + p.page_id % 50 AS INT) AS width, CAST(80 + p.page_id % 30 AS INT) AS height
-    FROM {pages} p JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k UNION ALL SELECT 2 AS k) k ON k.k < p.page_id % 4
+    FROM {pages} p JOIN (SELECT 1 AS m, 0 AS k UNION ALL SELECT 2 AS m, 0 AS k UNION ALL SELECT 2 AS m, 1 AS k
+        UNION ALL SELECT 3 AS m, 0 AS k UNION ALL SELECT 3 AS m, 1 AS k UNION ALL SELECT 3 AS m, 2 AS k) k ON k.m = p.page_id % 4
 """
 
 # Lines of an image list: ragged, with mixed-case annotations and blanks around.
