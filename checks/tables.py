@@ -11,11 +11,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veracity_prep.sources.processed import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
 )
 
+# Tables of long texts, which keep a core busy, and their keys.
+TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -25,9 +30,13 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def __call__(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        if table not in self._tables:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+            self._tables[table] = spread(df, TEXT_KEYS[table]) if table in TEXT_KEYS else df
+        return self._tables[table]
 
     def adapt(self, sql: str) -> DataFrame:
         used = {t: self(t) for t in TABLES if "{" + t + "}" in sql}

@@ -11,7 +11,7 @@ from veracity_prep.operators.lists import grouped_lists
 from veracity_prep.operators.metadata import flat_metadata, last_by_key, link_images, union_corpora
 from veracity_prep.operators.stats import dataset_statistics, download_summary
 from veracity_prep.options import ImageOptions, Options, SplitOptions
-from veracity_prep.plans.integrate import build_metadata
+from veracity_prep.plans.integrate import IntegratedTables, article_image_records, build_metadata, simplify
 from veracity_prep.plans.run import CORPORA, Corpus, Paths, register_corpus, run
 
 
@@ -137,6 +137,25 @@ def test_run_writes_splits(spark, finished):
     assert spark.read.parquet(paths.table("many", "splits", "folds")).select("fold").distinct().count() == 2
 
 
+def test_simplify_matches_each_kind_of_image(spark):
+    meta = spark.createDataFrame(
+        [("articles", "g_1", "g", "true", "1"), ("articles", "g_2", "g", "true", "2"), ("images", "i1", "", "true", None), ("images", "i2", "", "true", None), ("threads", "t1", "", "true", None)],
+        "dataset string, id string, source string, label string, article_id string",
+    )
+    texts = spark.createDataFrame([("threads", "t1", "raw", "done")], "dataset string, id string, raw_text string, processed_text string")
+    fields = "original_size array<int>, aspect_ratio double, format string"
+    single = spark.createDataFrame([("i1", "/p", "fake", "e", [1, 2], 0.5, "png")], f"image_id string, path string, annotation string, event string, {fields}")
+    linked = spark.createDataFrame([("/q", "f", "g", "fake", "1", [3, 4], 0.75, "jpg")] * 2, f"processed_path string, original_filename string, source string, label string, article_id string, {fields}")
+    for list_rows, images in ((10, ["/q", "/q"]), (1, None)):
+        out = simplify(IntegratedTables(meta, texts, single, article_image_records(linked, list_rows)))
+        rows = {r["id"]: r for r in out.collect()}
+        assert len(rows) == 5
+        assert (rows["g_1"]["images"] and [i["path"] for i in rows["g_1"]["images"]]) == images
+        assert rows["g_2"]["images"] == rows["i2"]["images"] == rows["t1"]["images"] == []
+        assert [(i["path"], i["annotation"], i["event"]) for i in rows["i1"]["images"]] == [("/p", "fake", "e")]
+        assert tuple(rows["t1"]["text"]) == ("raw", "done") and rows["g_1"]["text"] is None
+
+
 def test_own_corpus(spark, tmp_path):
     def load(spark, path, options, lexicon):
         texts = spark.read.text(path).select(F.col("value").alias("raw_text"))

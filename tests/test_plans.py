@@ -28,6 +28,14 @@ def test_stemming_needs_no_shuffle(spark):
     assert "Exchange" not in text and "ArrowEvalPython" in text
 
 
+def test_python_jobs_are_planned_over_any_input(spark):
+    # Nested lambdas that share a variable would make this fail now and then.
+    for rows in range(1, 9):
+        df = spark.createDataFrame([(i, "<p>a &#66; c</p> runs") for i in range(rows)], "k int, t string")
+        done = preprocess(df, "t", "o", TextOptions(stemming=True))
+        assert "ArrowEvalPython" in plan(done) and done.where("k = 0").first()["o"] == "b c run"
+
+
 def test_filters_reach_the_scan(spark):
     text = plan(preprocess(spark.read.parquet(DOCUMENTS), "text", "processed").where("lang = 'de'").select("processed"))
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,de)]" in text

@@ -111,13 +111,13 @@ def simplify(tables: IntegratedTables) -> DataFrame:
     """
     metadata = tables.metadata
     names = metadata.columns
-    kept = ("dataset", "id", "source", "label")
+    kept = ["dataset", "id", "source", "label"]
     rest = F.struct(*[c for c in names if c not in kept]).alias("metadata")
-    text = F.struct("raw_text", "processed_text").alias("_text")
-    base = metadata.select(*kept, rest, *(["article_id"] if "article_id" in names else []))
-    if "article_id" not in names:
-        base = base.withColumn("article_id", F.lit(None).cast("string"))
-    joined = base.join(tables.texts.select("dataset", "id", text), ["dataset", "id"], "left")
+    article_id = F.col("article_id") if "article_id" in names else F.lit(None).cast("string")
+    text = F.struct("raw_text", "processed_text").alias("text")
+    items = metadata.select(*kept, rest, article_id.alias("article_id")).join(
+        tables.texts.select("dataset", "id", text), ["dataset", "id"], "left"
+    )
 
     absent = F.lit(None).cast("string")
     single = F.struct(
@@ -127,9 +127,7 @@ def simplify(tables: IntegratedTables) -> DataFrame:
         absent.alias("label"),
         *["annotation", "event", "original_size", "aspect_ratio", "format"],
     )
-    singles = tables.images.select(
-        F.lit(IMAGES).alias("dataset"), F.col("image_id").alias("id"), F.array(single).alias("_single")
-    )
+    singles = tables.images.select(F.col("image_id").alias("id"), F.array(single).alias("images"))
     listed = F.transform(
         "items",
         lambda i: F.struct(
@@ -139,10 +137,18 @@ def simplify(tables: IntegratedTables) -> DataFrame:
             *[i[c].alias(c) for c in ("original_size", "aspect_ratio", "format")],
         ),
     )
-    lists = tables.article_images.by_key.select(
-        F.lit(ARTICLES).alias("dataset"), "source", "article_id", F.col("item_count").alias("_n"), listed.alias("_items")
-    )
-    joined = joined.join(lists, ["dataset", "source", "article_id"], "left")
-    joined = joined.join(singles, ["dataset", "id"], "left")
-    images = F.coalesce("_items", "_single", F.when(F.col("_n").isNull(), F.array()))
-    return joined.select(*kept, F.col("_text").alias("text"), images.alias("images"), "metadata")
+    lists = tables.article_images.by_key.select("source", "article_id", "item_count", listed.alias("images"))
+
+    # Each kind of corpus meets only its own images: in one join over all rows, the items without an article
+    # would share a single key.
+    none = F.array().cast(lists.schema["images"].dataType)
+    found = F.when(F.col("item_count").isNull(), none).otherwise(F.col("images"))
+    of_articles = items.where(F.col("dataset") == ARTICLES).join(lists, ["source", "article_id"], "left")
+    of_images = items.where(F.col("dataset") == IMAGES).join(singles, "id", "left")
+    others = items.where(~F.coalesce(F.col("dataset").isin(ARTICLES, IMAGES), F.lit(False)))
+    parts = [
+        of_articles.withColumn("images", found),
+        of_images.withColumn("images", F.coalesce("images", none)),
+        others.withColumn("images", none),
+    ]
+    return union_corpora([p.select(*kept, "text", "images", "metadata") for p in parts])
