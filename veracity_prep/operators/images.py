@@ -80,7 +80,8 @@ def resample_pixels(data: bytes, height: int, width: int, channels: int, target:
 def resample_images(images: DataFrame, options: ImageOptions | None = None) -> DataFrame:
     """``path, height, width, pixels``: every decodable image as RGB bytes of the configured size.
 
-    Map-only: each image is one row, and one image is in memory at a time.
+    Map-only. Spark cuts the Arrow batches of large rows by bytes (64 MB unless configured), and one image is
+    resampled at a time.
     """
     target = (options or ImageOptions()).resize
 
