@@ -119,7 +119,7 @@ def test_article_image_fetches(spark, tmp_path):
     urls = article_image_urls(read_article_files(spark, str(articles(tmp_path))).contents)
     found = {r["article_id"]: r["urls"] for r in urls.collect()}
     assert found["g-1"] == ["http://x.org/1.png", "http://x.org/2.png"]
-    assert found["p-5"] == ["http://x.org/in.png"] and found["g-2"] == []
+    assert found["p-5"] == ["http://x.org/in.png"] and found["g-2"] == found["p-3"] == []
     there = spark.createDataFrame([("/o/gossipcop/fake/g-1/1.png",)], "path string")
     plan = article_image_plan(urls, "/o", there)
     assert {r["target"] for r in plan.collect()} == {"/o/gossipcop/fake/g-1/2.png", "/o/politifact/real/p-5/in.png"}

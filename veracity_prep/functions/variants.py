@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,3 +29,13 @@ def strings_of(v: Column, path: str, key: str) -> Column:
     )
     kept = F.filter(items, lambda x: has_field(x, f"$.{key}"))
     return F.transform(kept, lambda x: F.try_variant_get(x, f"$.{key}", "string"))
+
+
+def parse_once(df: DataFrame, keep: Sequence[str], value: str, output: str) -> DataFrame:
+    """``keep`` and the JSON of ``value`` as VARIANT ``output``, NULL when it is not JSON.
+
+    A plain projection would be copied into every filter and expression that mentions the result, and the text
+    parsed again for each. Behind a generator it is parsed exactly once.
+    """
+    parsed = F.explode_outer(F.array(F.try_parse_json(value))).alias(output)
+    return df.select(*keep, parsed)

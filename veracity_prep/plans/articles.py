@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veracity_prep.functions.labels import article_label
 from veracity_prep.functions.urls import all_image_urls, declared_image_urls, file_name, is_http
-from veracity_prep.functions.variants import field_or
+from veracity_prep.functions.variants import field_or, parse_once
 from veracity_prep.operators.text import preprocess
 from veracity_prep.options import Options
 from veracity_prep.sources.articles import ArticleFiles, read_article_files
@@ -49,8 +49,8 @@ def tweet_counts(names: DataFrame) -> DataFrame:
 
 
 def parsed_articles(contents: DataFrame) -> DataFrame:
-    """Content files with their JSON as ``_content``; unreadable ones are dropped."""
-    return contents.select(*KEYS, F.try_parse_json("value").alias("_content")).where("_content is not null")
+    """Content files with their JSON as ``_content``, NULL for unreadable ones."""
+    return parse_once(contents, KEYS, "value", "_content")
 
 
 def build_articles(files: ArticleFiles, options: Options | None = None, lexicon: DataFrame | None = None) -> DataFrame:
@@ -95,7 +95,7 @@ def load_articles(
 
 
 def article_image_urls(contents: DataFrame) -> DataFrame:
-    """Distinct image addresses of each article: ``source, label, article_id, urls``."""
+    """Distinct image addresses of each article: ``source, label, article_id, urls``; none for unreadable ones."""
     v = F.col("_content")
     urls = all_image_urls(_list(v, "images"), _text(v, "text"), image_text(v))
     return parsed_articles(contents).select(*KEYS, urls.alias("urls"))

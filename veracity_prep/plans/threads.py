@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veracity_prep.functions.labels import annotation_label, known_label, thread_label
-from veracity_prep.functions.variants import field_or, has_field, strings_of
+from veracity_prep.functions.variants import field_or, has_field, parse_once, strings_of
 from veracity_prep.operators.text import preprocess
 from veracity_prep.options import Options
 from veracity_prep.sources.threads import ThreadFiles, read_thread_files
@@ -48,20 +48,20 @@ def tweet_metadata(v: Column) -> dict[str, Column]:
 
 def annotation_labels(annotations: DataFrame) -> DataFrame:
     """Label of each annotated thread, ``unknown`` where the annotation says nothing usable."""
-    v = F.try_parse_json("value")
+    v = F.col("_note")
     label = annotation_label(
         F.try_variant_get(v, "$.misinformation", "string"),
         F.try_variant_get(v, "$.true", "string"),
         has_field(v, "$.misinformation"),
         has_field(v, "$.true"),
     )
-    return annotations.select(*KEYS, known_label(label).alias("annotated"))
+    return parse_once(annotations, KEYS, "value", "_note").select(*KEYS, known_label(label).alias("annotated"))
 
 
 def source_tweets(sources: DataFrame) -> DataFrame:
     """The first source tweet file of each thread, parsed: ``_tweet`` is NULL when it is not JSON."""
     first = sources.groupBy(*KEYS).agg(F.min_by("value", "file").alias("value"))
-    return first.withColumn("_tweet", F.try_parse_json("value")).drop("value")
+    return parse_once(first, KEYS, "value", "_tweet")
 
 
 def first_reactions(
@@ -74,7 +74,8 @@ def first_reactions(
     """
     order = Window.partitionBy(*KEYS).orderBy("file")
     top = reactions.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= cut)
-    texts = top.select(*KEYS, "_n", tweet_text(F.try_parse_json("value")).alias("_text")).where("_text is not null")
+    tweets = parse_once(top, [*KEYS, "_n"], "value", "_tweet")
+    texts = tweets.select(*KEYS, "_n", tweet_text(F.col("_tweet")).alias("_text")).where("_text is not null")
     done = preprocess(texts, "_text", "_done", options.text, lexicon, [*KEYS, "_n"])
     in_order = F.array_sort(F.collect_list(F.struct("_n", "_done")))["_done"]
     return done.groupBy(*KEYS).agg(in_order.alias("reactions"))
