@@ -15,6 +15,7 @@ Null and empty texts have no tokens. The ids are those of the whole text; nothin
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 import re
 import unicodedata
@@ -37,7 +38,7 @@ END = "</w>"
 #: Added to the code point of a word's last byte character: one symbol stands for it and the end of the word.
 ENDED = 0x1000
 #: Entries that a cache holds at most before it starts anew.
-CACHED = 300_000
+CACHED = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -84,7 +85,7 @@ class WordBpe:
         self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.special = {t["content"]: int(t["id"]) for t in spec["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         by_id = {int(i): t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
@@ -129,10 +130,10 @@ class WordBpe:
                 end = at + size[token]
                 if end not in dead:
                     fits = True
-                    if last >= 0 and (fits := pairs.get((last, token))) is None:
-                        if len(pairs) > 4 * CACHED:
+                    if last >= 0 and (fits := pairs.get(last << 16 | token)) is None:
+                        if len(pairs) > CACHED:
                             pairs.clear()
-                        fits = pairs[last, token] = self.compatible(last, token)
+                        fits = pairs[last << 16 | token] = self.compatible(last, token)
                     if fits:
                         break
                 token = shorter[token]
@@ -191,14 +192,17 @@ class WordBpe:
 
     def decode(self, ids: bytes | None) -> str:
         """The tokens' texts with blanks between them, as a vocabulary without a decoder gives them."""
+        return b"".join(self.decoded(ids)).decode()
+
+    def decoded(self, ids: bytes | None) -> Iterator[bytes]:
+        """The decoded text in pieces."""
         tokens = np.frombuffer(ids or b"", dtype="<u4")
-        out = []
         for k in range(0, len(tokens), 1 << 16):  # bounds the index arrays of very long texts
             part = tokens[k : k + (1 << 16)]
             length = self.lengths[part]
             ends = np.cumsum(length)
-            out.append(self.flat[np.repeat(self.offsets[part] - ends + length, length) + np.arange(ends[-1])].tobytes())
-        return b"".join(out)[:-1].decode()
+            piece = self.flat[np.repeat(self.offsets[part] - ends + length, length) + np.arange(ends[-1])]
+            yield (piece if k + len(part) < len(tokens) else piece[:-1]).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
@@ -245,8 +249,25 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "token_ids", to:
 
 
 def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """For each row of ``docs``: doc_id, n_tokens, and SHA-256 of the ids and of the decoded text."""
-    name = fresh(docs, "source_text")
-    rows = docs.select("doc_id", F.col(f"`{text}`").alias(name))
-    out = decode_documents(encode_documents(rows, path, name), path)
-    return out.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """For each row of ``docs``: doc_id, n_tokens, and SHA-256 of the ids and of the text decoded from them.
+
+    Ids and decoded texts stay in the Python worker; only their digests come back.
+    """
+    kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+
+    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = tables(path)
+
+        def of(text: str | None) -> dict:
+            ids = bpe.encode(text)
+            decoded = hashlib.sha256()
+            for part in bpe.decoded(ids):
+                decoded.update(part)
+            return {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(), "decoded_sha256": decoded.hexdigest()}
+
+        for batch in batches:
+            yield pa.array((of(t.as_py()) for t in batch), kind, size=len(batch))
+
+    digest = fresh(docs, "digest")
+    return docs.select("doc_id", run(F.col(f"`{text}`")).alias(digest)).select("doc_id", f"{digest}.*")
