@@ -5,12 +5,13 @@ hash values over the set, truncated to exponentially spaced steps (base ``BASE``
 elementwise maximum (``merge``). Documents with one set are one node from the start. Nodes that agree on a whole
 band of registers meet in a bucket.
 
-No bucket is expanded into all its pairs. Round one pairs each member with one member of its bucket, picked anew in
-each band, and confirms only the best pair of each member. Members linked so far form components, and round two
-compares only members of different components: those outside a bucket's largest component with its other members.
-Before confirmation, the joint likelihood of the registers (with the known set sizes) drops pairs for which the
-threshold is out of reach; the margin corresponds to about one true link in ten million. What is left is confirmed
-on the full sets of 64-bit shingle hashes. Components come from alternating large-star and small-star steps.
+No bucket is expanded into all its pairs. Round one pairs each member of a bucket with the bucket's most popular
+member, the one that shares most buckets with others. The joint likelihood of the registers (with the known set
+sizes) drops pairs for which the threshold is out of reach; the margin corresponds to about one true link in ten
+million. The best pair of each member is confirmed on the full sets of 64-bit shingle hashes, then the other pairs of
+different components. Round two takes the buckets that still hold different components: members outside the largest
+component of what such buckets connect are compared with all its other members, in cells of bounded size, and only
+confirmed links leave a cell. Components come from alternating large-star and small-star steps.
 
 Nulls and edge cases: a null or blank text has an empty set and is linked with nothing; a text with fewer words than
 a shingle is one shingle; rows without a doc_id take part in no link and keep a null component; repeated rows of a
@@ -179,11 +180,8 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long, same int")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``pairs`` whose full sets are as similar as asked for. Only texts that occur in a pair are cut into shingles."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id")
-    sets = cut(full_sets(texts, size), "shingle-sets")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` whose full sets are as similar as asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,6 +196,42 @@ def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long").distinct()
 
 
+def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components (column ``c``) of a neighbourhood (column ``hood``), confirmed on full sets.
+
+    Members outside the neighbourhood's largest component meet all others, in cells of a bounded number of shingles
+    on either side. Only confirmed links leave a cell.
+    """
+    sizes = members.groupBy("hood", "c").agg(F.sum("n").alias("n"))
+    sizes = sizes.groupBy("hood").agg(F.max(F.struct("n", "c")).alias("most"), F.sum("n").alias("all"))
+    cells = F.greatest(F.lit(1), F.ceil(F.col("all") / 1_000_000)).cast("int"), F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("most.n")) / 100_000)).cast("int")
+    placed = members.join(sizes, "hood").withColumns({"wide": cells[0], "tall": cells[1], "open": F.col("c") != F.col("most.c")})
+    at = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ("hood", "column", "row", "open", "id", "n", "c")
+    rows = placed.withColumns({"open": F.lit(False), "column": at("wide")}).select("*", every("tall").alias("row")).select(*columns)
+    rows = rows.unionByName(placed.where("open").withColumn("row", at("tall")).select("*", every("wide").alias("column")).select(*columns))
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        sizes, of, ids = table.column("n").to_numpy(), table.column("c").to_numpy(), table.column("id").to_numpy()
+        opened = table.column("open").to_numpy()
+        hashes = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")]
+        closed = np.flatnonzero(~opened)
+        found: list[tuple[int, int]] = []
+        if len(closed):
+            flat = np.concatenate([hashes[k] for k in closed])
+            starts = np.cumsum([0, *(len(hashes[k]) for k in closed[:-1])])
+            for k in np.flatnonzero(opened):
+                own = hashes[k]
+                place = np.searchsorted(own, flat)
+                common = np.add.reduceat(own[np.minimum(place, len(own) - 1)] == flat, starts, dtype=np.int64)
+                fits = (100 * common >= percent * (sizes[closed] + sizes[k] - common)) & (of[closed] != of[k])
+                found += [(min(ids[k], ids[x]), max(ids[k], ids[x])) for x in closed[fits]]
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return rows.join(sets, "id").groupBy("hood", "column", "row").applyInArrow(run, "a long, b long").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id, component`` (smallest id reachable) of every id in ``links`` (a, b), by alternating star steps."""
 
@@ -235,33 +269,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
     hashes = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring(F.col("registers"), k * (2 * ROWS) + 1, F.lit(2 * ROWS))))
     members = nodes.select("id", "n", F.explode(hashes).alias("bucket"))
-    picked = members.groupBy("bucket").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("id", "bucket"), "id", "n")).alias("pick")).where("members > 1")
-    buckets = cut(members.join(picked, "bucket").select("bucket", "members", "id", "n", F.col("pick.id").alias("pick"), F.col("pick.n").alias("pick_n")), "buckets")
+    held = cut(members.join(members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "bucket"), "buckets")
+    popular = held.groupBy("id").agg((-F.sum("members")).alias("pop"))
+    picks = held.join(popular, "id").groupBy("bucket").agg(F.min(F.struct("pop", "id", "n")).alias("pick"))
     near = lambda x, y: f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
-    stars = buckets.where("id <> pick").where(near("n", "pick_n")).select(F.least("id", "pick").alias("a"), F.greatest("id", "pick").alias("b")).distinct()
+    stars = held.join(picks, "bucket").where("id <> pick.id").where(near("n", "pick.n")).select(F.least("id", "pick.id").alias("a"), F.greatest("id", "pick.id").alias("b")).distinct()
     stars = cut(likely(stars, nodes, percent), "star-pairs")
+    wanted = stars.select(F.explode(F.array("a", "b")).alias("id")).unionByName(held.where("members > 2").select("id")).distinct()
+    sets = cut(full_sets(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id"), words), "shingle-sets")
     ends = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
     best = ends.groupBy("a").agg(F.max(F.struct("same", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
     best = cut(best, "best-pairs")
-    links = cut(confirmed(best, docs, words, percent), "links")
-    found = components(links)
-
-    def parted(pairs: DataFrame) -> DataFrame:
-        """Pairs of different components."""
-        of = lambda name: found.select(F.col("id").alias(name), F.col("component").alias(f"c{name}"))
-        return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
-
-    mixed = buckets.where("members > 2").join(found, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("c"))
-    sizes = mixed.groupBy("bucket", "c").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("k", "c")).alias("m"))
-    mixed = cut(mixed.join(sizes.where("parts > 1").select("bucket", F.col("m.c").alias("largest")), "bucket"), "mixed-buckets")
-    few = mixed.where("c <> largest").select("bucket", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"))
-    across = few.join(mixed, "bucket").where("c <> cx").where(near("n", "nx")).select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
-    rest = likely(across.join(stars.select("a", "b"), ["a", "b"], "left_anti"), nodes, percent).select("a", "b")
-    open_stars = parted(stars.select("a", "b").join(best, ["a", "b"], "left_anti"))
-    rest = cut(rest.unionByName(open_stars).distinct(), "open-pairs")
-    if not rest.isEmpty():
-        more = confirmed(rest, docs, words, percent)
-        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    found = components(confirmed(best, sets, percent))
+    of = lambda name: found.select(F.col("id").alias(name), F.col("component").alias(f"c{name}"))
+    rest = stars.select("a", "b").join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    more = confirmed(rest.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), sets, percent)
+    found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    # Buckets that still hold different components: what they connect is a neighbourhood.
+    mixed = held.where("members > 2").join(found, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("c"))
+    parts = mixed.groupBy("bucket").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first <> last")
+    mixed = cut(mixed.join(parts, "bucket"), "mixed-buckets")
+    if not mixed.isEmpty():
+        hoods = components(mixed.select(F.col("c").alias("a"), F.col("first").alias("b"))).select(F.col("id").alias("c"), F.col("component").alias("hood"))
+        crossing = across(mixed.select("id", "n", "c").distinct().join(hoods, "c"), sets, percent)
+        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(crossing))
     classes = nodes.select("set_key", "id").join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
     out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(classes, "set_key", "left")
     component = F.coalesce("component", "doc_id")
