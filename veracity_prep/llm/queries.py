@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veracity_prep.llm import bpe, decontaminate, near_dedup, pii, quality, secrets
+from veracity_prep.llm import bpe, decontaminate, html_extract, licences, near_dedup, pii, quality, secret_scan, substring_dedup, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,9 +50,47 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digests(table(spark, sf_dir, "documents"))
+    return secret_scan.digests(table(spark, sf_dir, "documents"))
 
 
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+SQL["op10_topk"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/folder/doc_id``, a folder for every hundred ids."""
+    path = F.concat_ws("/", "source", F.floor(F.col("doc_id") / 100), "doc_id")
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), path.alias("path"), "text")
+    return licences.licences(files).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
