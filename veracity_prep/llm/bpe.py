@@ -248,14 +248,15 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "token_ids", to:
     return encoded.withColumn(to, decode(F.col(f"`{ids}`"), path))
 
 
-def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
     """For each row of ``docs``: doc_id, n_tokens, and SHA-256 of the ids and of the text decoded from them.
 
-    Ids and decoded texts stay in the Python worker; only their digests come back.
+    Ids and decoded texts stay in the Python worker and only their digests come back, unless ``keep_ids`` asks for
+    ``token_ids`` (binary) as well.
     """
-    kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("token_ids", pa.binary())] * keep_ids)
 
-    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string" + ",token_ids:binary" * keep_ids + ">")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = tables(path)
 
@@ -264,7 +265,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             decoded = hashlib.sha256()
             for part in bpe.decoded(ids):
                 decoded.update(part)
-            return {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(), "decoded_sha256": decoded.hexdigest()}
+            return {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(), "decoded_sha256": decoded.hexdigest(), "token_ids": ids}
 
         for batch in batches:
             yield pa.array((of(t.as_py()) for t in batch), kind, size=len(batch))

@@ -297,3 +297,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(classes, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The document with the smallest doc_id of each class, with the columns of ``docs``; one row for each doc_id.
+
+    Rows without a doc_id belong to no class and all stay.
+    """
+    kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
+    # The join leaves rows in order of doc_id; dropping repeated rows needs no further shuffle.
+    chosen = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    return chosen.unionByName(docs.where("doc_id is null"))
