@@ -77,9 +77,9 @@ def test_registers_merge_and_estimate():
     import pyarrow as pa
 
     batch = lambda x, y, nx, ny: pa.RecordBatch.from_arrays([pa.array([x.tobytes()]), pa.array([y.tobytes()]), pa.array([nx]), pa.array([ny])], names=["ka", "kb", "na", "nb"])
-    assert not near_dedup.within_reach(batch(ra, rb, len(left), len(right)), 80)[0][0]
+    assert not near_dedup.within_reach(batch(ra, rb, len(left), len(right)), 80)[0]
     more = np.union1d(left, b[450:550])
-    assert near_dedup.within_reach(batch(ra, near_dedup.registers([more])[0], len(left), len(more)), 80)[0][0]
+    assert near_dedup.within_reach(batch(ra, near_dedup.registers([more])[0], len(left), len(more)), 80)[0]
 
 
 def test_components_of_a_chain(spark):

@@ -8,8 +8,7 @@ band of registers meet in a bucket.
 No bucket is expanded into all its pairs. Round one pairs each member of a bucket with the bucket's most popular
 member, the one that shares most buckets with others. The joint likelihood of the registers (with the known set
 sizes) drops pairs for which the threshold is out of reach; the margin corresponds to about one true link in ten
-million. The best pair of each member is confirmed on the full sets of 64-bit shingle hashes, then the other pairs of
-different components. Round two takes the buckets that still hold different components: members outside the largest
+million. The pairs that are left are confirmed on the full sets of 64-bit shingle hashes. Round two takes the buckets that still hold different components: members outside the largest
 component of what such buckets connect are compared with all its other members, in cells of bounded size, and only
 confirmed links leave a cell. Components come from alternating large-star and small-star steps.
 
@@ -25,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from veracity_prep.llm.shared import cut
@@ -142,8 +141,8 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "id long, hashes binary")
 
 
-def within_reach(pairs: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """For pairs with ``ka, kb, na, nb``: whether the threshold is likely enough, and the number of equal registers."""
+def within_reach(pairs: pa.RecordBatch, percent: int) -> np.ndarray:
+    """For pairs with ``ka, kb, na, nb``: whether the threshold is likely enough."""
     ka, kb = (np.frombuffer(b"".join(pairs.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("ka", "kb"))
     na, nb = (pairs.column(c).to_numpy().astype(float)[:, None] for c in ("na", "nb"))
     more, less = (ka > kb).sum(1)[:, None], (ka < kb).sum(1)[:, None]
@@ -161,23 +160,21 @@ def within_reach(pairs: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.nd
     best = likelihood(most * grid).max(1)
     low = np.minimum(percent / 100, most)
     good = likelihood(low + (most - low) * grid).max(1)
-    return good >= best - MARGIN, same[:, 0]
+    return good >= best - MARGIN
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b) that the registers don't rule out, with ``same``, the number of equal registers."""
+    """``pairs`` (a, b) that the registers don't rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keep, same = within_reach(batch, percent)
-                table = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same.astype(np.int32))], names=["a", "b", "same"])
-                yield table.filter(pa.array(keep))
+                yield batch.select(["a", "b"]).filter(pa.array(within_reach(batch, percent)))
 
     def side(name: str) -> DataFrame:
         return nodes.select(F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("registers").alias(f"k{name}"))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long, same int")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -235,21 +232,22 @@ def across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``id, component`` (smallest id reachable) of every id in ``links`` (a, b), by alternating star steps."""
 
-    def print_of(edges: DataFrame) -> tuple:
-        return tuple(edges.agg(F.count("*"), F.expr("sum(cast(xxhash64(u, v) as decimal(20)))")).first())
+    def written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+        # Number and fingerprint of the edges come with the write.
+        seen = Observation()
+        out = cut(edges.where("u > v").distinct().observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")), "edges")
+        return out, (seen.get["n"], seen.get["x"])
 
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
-    before = print_of(edges)
+    edges, before = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # Large star: each larger neighbour is hung below the least of the neighbourhood.
-        hung = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        hung = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: so is the node itself with its smaller neighbours.
         least = hung.groupBy("u").agg(F.min("v").alias("m"))
         down = hung.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = cut(down.where("u > v").distinct(), "edges")
-        now = print_of(edges)
+        edges, now = written(down)
         if now == before:
             break
         before = now
@@ -277,14 +275,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     stars = cut(likely(stars, nodes, percent), "star-pairs")
     wanted = stars.select(F.explode(F.array("a", "b")).alias("id")).unionByName(held.where("members > 2").select("id")).distinct()
     sets = cut(full_sets(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id"), words), "shingle-sets")
-    ends = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"), "same"))
-    best = ends.groupBy("a").agg(F.max(F.struct("same", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
-    best = cut(best, "best-pairs")
-    found = components(confirmed(best, sets, percent))
-    of = lambda name: found.select(F.col("id").alias(name), F.col("component").alias(f"c{name}"))
-    rest = stars.select("a", "b").join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
-    more = confirmed(rest.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"), sets, percent)
-    found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
+    found = components(confirmed(stars, sets, percent))
     # Buckets that still hold different components: what they connect is a neighbourhood.
     mixed = held.where("members > 2").join(found, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("c"))
     parts = mixed.groupBy("bucket").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first <> last")
