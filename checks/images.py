@@ -309,5 +309,5 @@ def image_sizes(t):
 
 @query()
 def resample_page_images(t):
-    small = resample_images(page_images(t), ImageOptions(resize=(32, 32)))
+    small = resample_images(page_images(t), ImageOptions())
     return small.select("path", "height", "width", F.octet_length("pixels").alias("bytes"), F.md5("pixels").alias("digest"))

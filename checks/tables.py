@@ -5,22 +5,16 @@ The adapters are SQL that Spark and DuckDB read alike: ``{documents}`` stands fo
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veracity_prep.sources.processed import spread
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
 )
 
-# Tables of long texts, which keep a core busy, and their keys.
-TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -34,8 +28,7 @@ class Inputs:
 
     def __call__(self, table: str) -> DataFrame:
         if table not in self._tables:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
-            self._tables[table] = spread(df, TEXT_KEYS[table]) if table in TEXT_KEYS else df
+            self._tables[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
         return self._tables[table]
 
     def adapt(self, sql: str) -> DataFrame:
@@ -43,8 +36,8 @@ class Inputs:
         return self.spark.sql(sql, **used)
 
     def shared_folder(self) -> str:
-        """A fresh folder in the place the cluster shares, or a temporary one where none is set."""
-        base = self.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        """A fresh folder in the place the cluster shares, or in the warehouse where none is set."""
+        base = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("spark.sql.warehouse.dir")
         return f"{base}/{uuid.uuid4().hex}"
 
 

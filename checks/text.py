@@ -169,12 +169,11 @@ def lemmatize_documents_by_join(t):
 
 @query(
     f"""SELECT doc_id, {S.joined(S.stopped('tk', ('die', 'der', 'und')))} AS kept
-    FROM (SELECT doc_id, {S.tokens('text')} AS tk FROM {{documents}} WHERE lang = 'de')"""
+    FROM (SELECT doc_id, {S.tokens('text')} AS tk FROM {{documents}})"""
 )
 def drop_own_stopwords(t):
-    german = t("documents").where("lang = 'de'")
     kept = T.drop_stopwords(T.tokenize(F.col("text")), ("die", "der", "und"))
-    return german.select("doc_id", T.join_tokens(kept).alias("kept"))
+    return t("documents").select("doc_id", T.join_tokens(kept).alias("kept"))
 
 
 @query(

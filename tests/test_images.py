@@ -5,11 +5,11 @@ import random
 
 import numpy as np
 from pyspark.sql import functions as F
-from trees import article_images, images, jpeg_with_tags, png
+from trees import article_images, images, jpeg_with_tags, png, write
 
 from veracity_prep.operators.images import exif_tags, image_tags, resample_images, resample_pixels
 from veracity_prep.options import ImageOptions
-from veracity_prep.plans.image_corpora import inventory_keys, listed_image_plan, load_article_images, load_listed_images
+from veracity_prep.plans.image_corpora import inventory_keys, listed_image_plan, load_article_images, load_listed_images, pixels_of
 from veracity_prep.sources.images import image_paths, read_image_list, read_images
 from veracity_prep.sources.processed import image_summary
 
@@ -94,6 +94,22 @@ def test_pixels_of_files(spark, tmp_path):
     assert got == {"fake/i1.png": (2, 2, red), "real/i1.png": (2, 2, red), "real/i3.png": (2, 2, blue)}
 
 
+def test_odd_names_and_broken_winners(spark, tmp_path):
+    good, names = png(2, 1, bytes([255, 0, 0] * 2)), ["a b", "50%", "x+y", "n#1", "50%25"]
+    for name in names:
+        write(tmp_path / "images" / "fake" / f"{name}.png", good)
+    write(tmp_path / "images" / "fake" / "d.jpeg", good)
+    write(tmp_path / "images" / "fake" / "d.png", b"broken")  # the later extension wins, then fails
+    write(tmp_path / "images" / "fake" / "unlisted.png", good)
+    write(tmp_path / "set_images.txt", "".join(f"{n}\thttp://x.org/a.png\tfake\tev\n" for n in [*names, "d"]))
+    records = load_listed_images(spark, str(tmp_path), "/out")
+    rows = {r["image_id"]: r for r in records.collect()}
+    assert set(rows) == set(names)
+    assert {r["original_path"] for r in rows.values()} == {f"{tmp_path}/images/fake/{n}.png" for n in names}
+    pixels = pixels_of(records, read_images(spark, str(tmp_path / "images")), ImageOptions(resize=(1, 1)))
+    assert {r["processed_path"] for r in pixels.collect()} == {r["processed_path"] for r in rows.values()}
+
+
 def test_tags():
     for order in ("big", "little"):
         assert exif_tags(jpeg_with_tags(order)) == {"Make": "Cam", "Software": "Editor 1.0", "DateTime": "2020:01:02 03:04:05", "GPSInfo": "999"}

@@ -69,8 +69,3 @@ def two_decimals(c: Column) -> Column:
 def has_tags(tags: Column) -> Column:
     """True when a tag map holds at least one entry."""
     return F.coalesce(F.size(tags) > 0, F.lit(False))
-
-
-def share(count: Column, window) -> Column:
-    """Part of ``count`` in its total over ``window``."""
-    return count / F.sum(count).over(window)

@@ -27,9 +27,9 @@ _NON_TEXT = (
     rf"|<({_RAW_ELEMENTS})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
     rf"|<({_HIDDEN_ELEMENTS})(?=[\s/>])[^>]*>.*?</\2\s*>"
 )
-# A start tag may hold ``>`` inside quoted attribute values. The second pattern takes what has unbalanced quotes or very
-# many attributes: the bound keeps the recursion of the regex engine shallow.
-_QUOTED_TAG = r"""<[A-Za-z_:][^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+){0,200}+>"""
+# A start tag may hold ``>`` inside quoted attribute values; the second pattern takes what has unbalanced quotes. The
+# possessive group doesn't recurse in the regex engine, however many attributes there are.
+_QUOTED_TAG = r"""<[A-Za-z_:][^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+>"""
 _PLAIN_TAG = r"</?[A-Za-z_:][^>]*>|</?[!?][^>]*>"
 _ENTITY = r"&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[A-Za-z][A-Za-z0-9]*;"
 

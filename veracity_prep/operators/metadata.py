@@ -42,7 +42,7 @@ def flat_metadata(items: DataFrame, dataset: str) -> DataFrame:
     if "metadata" in names:
         for f in items.schema["metadata"].dataType.fields:
             if f.name not in base and f.name != "dataset" and not isinstance(f.dataType, _NESTED):
-                columns.append(F.col(f"metadata.{f.name}").alias(f.name))
+                columns.append(F.col(f"metadata.`{f.name}`").alias(f.name))
     return items.select(*columns)
 
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracity_prep.functions.labels import annotation_bucket
 from veracity_prep.functions.urls import extension_or_jpg
+from veracity_prep.operators.images import resample_images
 from veracity_prep.operators.lists import GroupedLists, grouped_lists
+from veracity_prep.options import ImageOptions
 from veracity_prep.sources.images import (
     files_by_stem,
+    image_paths,
     read_image_list,
     read_image_properties,
     read_manifest,
@@ -72,10 +77,19 @@ def _processed(images: DataFrame, target) -> list:
 
 
 def build_listed_images(
-    images: DataFrame, properties: DataFrame, mapping: DataFrame, output: str, list_rows: int = 100_000
+    images: DataFrame,
+    properties: DataFrame,
+    mapping: DataFrame,
+    output: str,
+    list_rows: int = 100_000,
+    paths: DataFrame | None = None,
 ) -> DataFrame:
-    """Processed images of a list: file, geometry, tags and the tweets that use them."""
-    files = files_by_stem(properties.select("path"))
+    """Processed images of a list: file, geometry, tags and the tweets that use them.
+
+    The file of an id is chosen among all ``paths`` on disk (those of ``properties`` if there is no listing), valid
+    or not; an entry whose chosen file is not a valid image is left out.
+    """
+    files = files_by_stem((properties if paths is None else paths).select("path"))
     found = images_with_files(listed_class(images), files).join(properties, "path")
     name = F.substring_index("path", "/", -1)
     columns = _processed(found, F.concat_ws("/", F.lit(output), "annotation", name))
@@ -92,6 +106,7 @@ def load_listed_images(spark: SparkSession, path: str, output: str, list_rows: i
         read_tweet_images(spark, *list_candidates(path, TWEET_LIST_FILE)),
         output,
         list_rows,
+        image_paths(spark, f"{path}/images"),
     )
 
 
@@ -120,7 +135,15 @@ def build_article_images(manifest: DataFrame, properties: DataFrame, root: str,
 def load_article_images(spark: SparkSession, path: str, manifest: str, output: str) -> DataFrame:
     """Processed images of a directory ``images/<publisher>/<label>/<article>/`` and its manifest."""
     root = f"{path}/images"
-    return build_article_images(read_manifest(spark, manifest), read_image_properties(spark, root), root, output)
+    properties = read_image_properties(spark, root)
+    entries = read_manifest(spark, manifest)
+    return build_article_images(entries, properties, re.sub("^file:/+", "/", root), output)
+
+
+def pixels_of(records: DataFrame, images: DataFrame, options: ImageOptions | None = None) -> DataFrame:
+    """Resampled pixels of processed images under the ``processed_path`` of their record; other files are left out."""
+    wanted = records.select(F.col("original_path").alias("path"), "processed_path").distinct()
+    return resample_images(images, options).join(wanted, "path").select("processed_path", "height", "width", "pixels")
 
 
 def listed_image_plan(images: DataFrame, root: str, inventory: DataFrame, limit: int = 0) -> DataFrame:

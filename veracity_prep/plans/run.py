@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from veracity_prep import schemas
-from veracity_prep.operators.images import resample_images
 from veracity_prep.operators.splits import make_splits
 from veracity_prep.operators.stats import dataset_statistics
 from veracity_prep.options import Options
@@ -19,6 +18,7 @@ from veracity_prep.plans.image_corpora import (
     list_candidates,
     load_article_images,
     load_listed_images,
+    pixels_of,
 )
 from veracity_prep.plans.integrate import ARTICLES, IMAGES, build_metadata, integrate, simplify
 from veracity_prep.plans.statements import load_statements
@@ -85,16 +85,17 @@ def _write_images(spark: SparkSession, paths: Paths, options: Options) -> None:
         write_table(summary, paths.table("images", "summary", IMAGES), fmt="csv")
         mapping = read_tweet_images(spark, *list_candidates(paths.listed_images, TWEET_LIST_FILE))
         write_table(image_tweets(mapping, options.list_rows).chunks, paths.table("images", "tweet_chunks"))
-        pixels = resample_images(read_images(spark, f"{paths.listed_images}/images"), options.image)
+        pixels = pixels_of(done, read_images(spark, f"{paths.listed_images}/images"), options.image)
         write_table(pixels, paths.table("images", "pixels", IMAGES))
     if paths.article_images and paths.article_manifest:
         table = paths.table("images", ARTICLES)
         processed = paths.table("images", "pixels")
         write_table(load_article_images(spark, paths.article_images, paths.article_manifest, processed), table)
         ids = ("source", "label", "article_id", "original_filename")
-        summary = image_summary(read_existing(spark, table), *ids)
+        done = read_existing(spark, table)
+        summary = image_summary(done, *ids)
         write_table(summary, paths.table("images", "summary", ARTICLES), fmt="csv")
-        pixels = resample_images(read_images(spark, f"{paths.article_images}/images"), options.image)
+        pixels = pixels_of(done, read_images(spark, f"{paths.article_images}/images"), options.image)
         write_table(pixels, paths.table("images", "pixels", ARTICLES))
 
 

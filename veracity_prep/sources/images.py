@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracity_prep.functions.text import strip_space
 from veracity_prep.functions.urls import base_name, extension, stem
 from veracity_prep.schemas import EXIF_TYPE, IMAGE_LIST, IMAGE_MANIFEST, TWEET_IMAGES
-from veracity_prep.sources.files import or_empty
+from veracity_prep.sources.files import or_empty, plain_path
 
 # Extensions of image files; of equal stems the later one in this list wins.
 EXTENSIONS = (".jpg", ".jpeg", ".png", ".gif")
@@ -71,7 +71,7 @@ def image_paths(spark: SparkSession, root: str) -> DataFrame:
 
     def scan() -> DataFrame:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        return files.select("path", F.col("length").alias("size"))
+        return files.select(local_path(F.col("path")).alias("path"), F.col("length").alias("size"))
 
     paths = or_empty(spark, scan, "path string, size bigint")
     return paths.where(extension(base_name(F.col("path"))).isin(*EXTENSIONS))
@@ -88,12 +88,16 @@ def files_by_stem(paths: DataFrame) -> DataFrame:
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:
-    """Decoded images below a directory (column ``image``); broken files have width -1."""
-    return (
+    """Decoded images below a directory (column ``image``); broken files have width -1.
+
+    ``image.origin`` is the plain path, as the file listing spells it: the scan itself gives it percent-encoded.
+    """
+    images = (
         spark.read.format("image")
         .options(recursiveFileLookup=True, dropInvalid=False, pathGlobFilter="*.{jpg,jpeg,png,gif}")
         .load(root)
     )
+    return images.withColumn("image", F.col("image").withField("origin", local_path(plain_path(F.col("image.origin")))))
 
 
 def read_image_bytes(spark: SparkSession, root: str) -> DataFrame:
@@ -102,7 +106,7 @@ def read_image_bytes(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter="*.{jpg,jpeg}")
         .load(root)
-        .select("path", "content")
+        .select(local_path(F.col("path")).alias("path"), "content")
     )
 
 
@@ -111,14 +115,12 @@ def read_image_properties(spark: SparkSession, root: str) -> DataFrame:
     from veracity_prep.operators.images import image_geometry, image_tags
 
     def scan() -> DataFrame:
-        sizes = image_geometry(read_images(spark, root))
-        tags = image_tags(read_image_bytes(spark, root)).withColumn("path", local_path("path"))
-        joined = sizes.withColumn("path", local_path("path")).join(tags, "path", "left")
+        joined = image_geometry(read_images(spark, root)).join(image_tags(read_image_bytes(spark, root)), "path", "left")
         return joined.withColumn("exif", F.coalesce("exif", F.create_map().cast(EXIF_TYPE)))
 
     return or_empty(spark, scan, _PROPERTIES)
 
 
-def local_path(column: str):
+def local_path(path: Column) -> Column:
     """One spelling of a file address: the two image scans write ``file:/x`` and ``file:///x``."""
-    return F.regexp_replace(column, r"^file:/+", "/")
+    return F.regexp_replace(path, r"^file:/+", "/")

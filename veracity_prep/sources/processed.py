@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,16 +40,6 @@ def read_existing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A table that is scanned in fewer pieces than there are cores, redistributed by its keys; others unchanged.
-
-    For small files with one row group before work that is heavy on each row. A large table has more pieces than
-    the cluster has cores and is never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def image_summary(images: DataFrame, *ids: str) -> DataFrame:
     """Flat summary of processed images: ids, path, ``WxH``, aspect ratio with two decimals and ``has_exif``."""
     size = F.col("original_size")
