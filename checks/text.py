@@ -133,10 +133,14 @@ def stem_vocabulary(t):
     return words.select("word", stem_tokens(F.array("word"))[0].alias("stem"))
 
 
-@query()
+# Turns with clitics, in chains, at word ends and on their own.
+CLITICS = """SELECT conv_id, turn,
+    concat(text, ' Don''t say it''s ', role, '''s, we''LL can''t; n''t ''same ''s''s''d I''m') AS text FROM {conversations}"""
+
+
+@query(f"SELECT conv_id, turn, {S.joined(S.tokens('text'))} AS tokens FROM ({CLITICS})")
 def split_contractions(t):
-    options = TextOptions(split_contractions=True)
-    return preprocess(t("conversations"), "text", "processed", options).select("conv_id", "turn", "processed")
+    return t.adapt(CLITICS).select("conv_id", "turn", T.join_tokens(T.tokenize(F.col("text"))).alias("tokens"))
 
 
 # A lexicon of the longer words of the benchmark texts.

@@ -119,7 +119,7 @@ def test_many_attributes_do_not_overflow(value):
 
 
 def test_tokens(value):
-    assert value(T.tokenize, "It's [URL], ok_1! é́x") == ["It", "'", "s", "[", "URL", "]", ",", "ok_1", "!", "é́x"]
+    assert value(lambda c: T.tokenize(c, False), "It's [URL], ok_1! é́x") == ["It", "'", "s", "[", "URL", "]", ",", "ok_1", "!", "é́x"]
     got = value(lambda c: T.tokenize(c, True), "Don't say it's John's, we'll can't; n't 'same 's")
     assert got == ["Do", "n't", "say", "it", "'s", "John", "'s", ",", "we", "'ll", "ca", "n't", ";", "n't", "'", "same", "'s"]
 
@@ -127,11 +127,11 @@ def test_tokens(value):
 def test_stopwords_and_truncation(spark):
     df = spark.createDataFrame([("The cat IS on the mat, isn't it",), ("é" * 3000,)], "t string")
     out = [r[0] for r in preprocess(df, "t", "o").select("o").collect()]
-    assert out == ["cat mat , '", "é" * 2048]
+    assert out == ["cat mat , n't", "é" * 2048]
     own = TextOptions(stopwords=("cat",), max_length=2)
     assert preprocess(df, "t", "o", own).first()["o"] == "The IS o"
     kept = TextOptions(remove_stopwords=False)
-    assert preprocess(df, "t", "o", kept).first()["o"] == "The cat IS on the mat , isn ' t it"
+    assert preprocess(df, "t", "o", kept).first()["o"] == "The cat IS on the mat , is n't it"
 
 
 def test_stopwords_of_other_languages(spark):

@@ -163,10 +163,10 @@ def clean_text(c: Column) -> Column:
     return collapse_whitespace(replace_numbers(replace_emails(replace_urls(text))))
 
 
-def tokenize(c: Column, split_contractions: bool = False) -> Column:
+def tokenize(c: Column, split_contractions: bool = True) -> Column:
     """Words and single punctuation marks, in order.
 
-    With ``split_contractions``, English clitics are tokens of their own (``do`` ``n't``, ``it`` ``'s``).
+    English clitics are tokens of their own (``do`` ``n't``, ``it`` ``'s``) unless ``split_contractions`` is off.
     """
     return F.regexp_extract_all(c, F.lit(_CONTRACTION_TOKEN if split_contractions else _TOKEN), F.lit(0))
 
