@@ -11,7 +11,7 @@ from veracity_prep.functions import urls as U
 from veracity_prep.functions.labels import known_label
 from veracity_prep.functions.stem import stem_tokens
 from veracity_prep.operators.stats import value_counts
-from veracity_prep.operators.text import lemmatize_by_join, preprocess
+from veracity_prep.operators.text import finished_text, lemmatize_by_join, prepared_tokens, preprocess
 from veracity_prep.options import TextOptions
 
 WORDS = T.ENGLISH_STOPWORDS
@@ -160,15 +160,15 @@ def _lexicon(t: Inputs):
 
 @query(LEMMATIZED)
 def lemmatize_documents(t):
-    done = preprocess(t("documents"), "text", "processed", TextOptions(), _lexicon(t))
+    done = preprocess(t("documents"), "text", "processed", TextOptions(), _lexicon(t), ["doc_id"])
     return done.select("doc_id", "processed")
 
 
 @query(LEMMATIZED)
 def lemmatize_documents_by_join(t):
-    options = TextOptions(lexicon_broadcast_rows=0)
-    done = preprocess(t("documents"), "text", "processed", options, _lexicon(t), ["doc_id"])
-    return done.select("doc_id", "processed")
+    tokens = t("documents").select("doc_id", prepared_tokens(F.col("text"), TextOptions()).alias("tokens"))
+    done = lemmatize_by_join(tokens, "tokens", _lexicon(t), ["doc_id"])
+    return done.select("doc_id", finished_text(F.col("tokens"), TextOptions()).alias("processed"))
 
 
 @query(

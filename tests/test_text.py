@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from veracity_prep.functions import text as T
-from veracity_prep.operators.text import lemmatize_by_join, preprocess, small_lexicon
+from veracity_prep.operators.text import lemmatize_by_join, preprocess
 from veracity_prep.options import TextOptions
 
 AWKWARD = [
@@ -139,19 +139,19 @@ def test_stopwords_of_other_languages(spark):
     assert preprocess(df, "t", "o", TextOptions(language="german")).first()["o"] == "Hund"
 
 
-def test_lemmas_both_ways(spark):
+def test_lemmas(spark):
     df = spark.createDataFrame([(1, "mice ran mice"), (2, ""), (3, "cats")], "k int, t string")
     lexicon = spark.createDataFrame(
         [("mice", "mouse"), ("mice", "zz"), ("ran", "run"), (None, "x"), ("cats", None)], "form string, lemma string"
     )
     want = {1: "mouse run mouse", 2: "", 3: "cats"}
-    for rows in (100, 0):
-        options = TextOptions(lexicon_broadcast_rows=rows)
-        out = preprocess(df, "t", "o", options, lexicon, ["k"])
+    for key in (["k"], ["k", "t"]):
+        out = preprocess(df, "t", "o", None, lexicon, key)
         assert {r["k"]: r["o"] for r in out.collect()} == want
+    twice = spark.createDataFrame([(None, "mice"), (None, "ran")], "k int, t string")
+    assert sorted(r["o"] for r in preprocess(twice, "t", "o", None, lexicon, ["k"]).collect()) == ["mouse", "run"]
     with pytest.raises(ValueError, match="key columns"):
-        preprocess(df, "t", "o", TextOptions(lexicon_broadcast_rows=0), lexicon)
-    assert small_lexicon(lexicon, 1) is None
+        preprocess(df, "t", "o", None, lexicon)
     stemmed = TextOptions(stemming=True)
     assert preprocess(df, "t", "o", stemmed, lexicon).where("k = 1").first()["o"] == "mice ran mice"
     plain = TextOptions(lemmatization=False)
@@ -161,5 +161,5 @@ def test_lemmas_both_ways(spark):
 def test_lemma_join_keeps_null_arrays(spark):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, None)], "k int, w array<string>")
     lexicon = spark.createDataFrame([("a", "z")], "form string, lemma string")
-    out = lemmatize_by_join(df, "w", lexicon, ["k"], salts=3)
+    out = lemmatize_by_join(df, "w", lexicon, ["k"])
     assert {r["k"]: r["w"] for r in out.collect()} == {1: ["z", "b"], 2: None}

@@ -163,13 +163,3 @@ def stem_tokens(tokens: Column) -> Column:
         return _map_distinct(batch, stem_word)
 
     return F.arrow_udf(run, ArrayType(StringType()))(tokens)
-
-
-def replace_tokens(tokens: Column, mapping) -> Column:
-    """Replace tokens by the values of a broadcast ``dict``; unknown tokens stay."""
-
-    def run(batch):
-        known = mapping.value
-        return _map_distinct(batch, lambda w: known.get(w, w))
-
-    return F.arrow_udf(run, ArrayType(StringType()))(tokens)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracity_prep.functions import text as T
-from veracity_prep.functions.stem import replace_tokens, stem_tokens
+from veracity_prep.functions.stem import stem_tokens
 from veracity_prep.options import TextOptions
 
 
@@ -24,45 +26,26 @@ def finished_text(tokens: Column, options: TextOptions) -> Column:
     return T.truncate(T.join_tokens(tokens), options.max_length)
 
 
-def small_lexicon(lexicon: DataFrame, max_rows: int) -> dict[str, str] | None:
-    """The ``(form, lemma)`` rows as a dictionary, or None when there are more than ``max_rows``.
+def lemmatize_by_join(df: DataFrame, tokens: str, lexicon: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Replace the tokens of an array column by their lemmas, for lexicons of any size.
 
-    One lemma per form: the smallest, so that the result does not depend on row order.
-    """
-    unique = lexicon.where("form is not null and lemma is not null").groupBy("form").agg(F.min("lemma").alias("lemma"))
-    rows = unique.limit(max_rows + 1).collect()
-    return None if len(rows) > max_rows else {r["form"]: r["lemma"] for r in rows}
-
-
-def lemmatize_by_join(
-    df: DataFrame, tokens: str, lexicon: DataFrame, key: Sequence[str], salts: int = 64
-) -> DataFrame:
-    """Replace the tokens of an array column by their lemmas through a shuffled join.
-
-    For lexicons of any size. The corpus is first reduced to its distinct words, so the join with the lexicon
-    sees each word once; only words that change go back to the tokens. A frequent word would otherwise send
-    all its occurrences to one task, so occurrences are spread over ``salts`` and the changed words repeated
-    for each of them. ``key`` must identify the rows of ``df``.
+    Each row sends its distinct words to the join with the lexicon, so a frequent word counts once for each row; Spark
+    picks the join by the measured sizes and splits a word that still stands out. What changes in a row comes back as
+    one map. ``key`` identifies the rows of ``df``; rows that share a key share the map. One lemma per form: the
+    smallest, so that the result does not depend on row order.
     """
     key = list(key)
-    words = df.select(*key, F.posexplode(tokens).alias("_pos", "_word"))
-    lemmas = lexicon.where("form is not null").groupBy("form").agg(F.min("lemma").alias("lemma"))
-    changed = (
-        words.select("_word")
-        .distinct()
-        .join(lemmas, F.col("_word") == F.col("form"))
-        .where(F.col("lemma") != F.col("_word"))
-        .select("_word", "lemma", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    )
-    salted = words.withColumn("_salt", F.pmod(F.xxhash64(*key, "_pos"), F.lit(salts)).cast("int"))
-    replaced = (
-        salted.join(changed, ["_word", "_salt"], "left")
-        .select(*key, F.struct("_pos", F.coalesce("lemma", "_word").alias("word")).alias("_item"))
-        .groupBy(*key)
-        .agg(F.array_sort(F.collect_list("_item"))["word"].alias("_replaced"))
+    lemmas = lexicon.where("form is not null and lemma is not null").groupBy("form").agg(F.min("lemma").alias("lemma"))
+    words = df.select(*key, F.explode(F.array_distinct(tokens)).alias("_word"))
+    changed = words.join(lemmas.where("form <> lemma"), F.col("_word") == F.col("form"))
+    maps = changed.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(key)]).agg(
+        F.map_from_entries(F.collect_set(F.struct("_word", "lemma"))).alias("_lemmas")
     )
-    out = df.join(replaced, key, "left")
-    return out.withColumn(tokens, F.coalesce("_replaced", tokens)).drop("_replaced")
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(key)]
+    out = df.join(maps, reduce(and_, same), "left")
+    replaced = F.transform(tokens, lambda t: F.coalesce(F.try_element_at("_lemmas", t), t))
+    done = F.when(F.col("_lemmas").isNull(), F.col(tokens)).otherwise(replaced)
+    return out.withColumn(tokens, done).drop("_lemmas", *[f"_key_{i}" for i in range(len(key))])
 
 
 def preprocess(
@@ -75,18 +58,14 @@ def preprocess(
 ) -> DataFrame:
     """Add ``output``: ``column`` cleaned, tokenized, filtered, stemmed or lemmatized, joined and truncated.
 
-    Without stemming and lexicon this is one projection of native expressions. ``lexicon`` holds
-    ``(form, lemma)``; a large one needs ``key``, the columns that identify a row.
+    Without lemmatization this is one projection. A ``lexicon`` of ``(form, lemma)`` needs ``key``, the columns
+    that identify a row.
     """
     options = options or TextOptions()
     tokens = prepared_tokens(F.col(column), options)
     if lexicon is None or options.stemming or not options.lemmatization:
         return df.withColumn(output, finished_text(tokens, options))
-    mapping = small_lexicon(lexicon, options.lexicon_broadcast_rows)
-    if mapping is not None:
-        shipped = df.sparkSession.sparkContext.broadcast(mapping)
-        return df.withColumn(output, finished_text(replace_tokens(tokens, shipped), options))
     if not key:
-        raise ValueError("a lexicon above lexicon_broadcast_rows needs the key columns of the rows")
+        raise ValueError("a lexicon needs the key columns of the rows")
     out = lemmatize_by_join(df.withColumn("_tokens", tokens), "_tokens", lexicon, key)
     return out.withColumn(output, finished_text(F.col("_tokens"), options)).drop("_tokens")

@@ -20,8 +20,6 @@ class TextOptions:
     lemmatization: bool = True
     max_length: int = 512
     split_contractions: bool = True
-    #: A lexicon up to this many rows is shipped to the tasks; a larger one is joined by shuffle.
-    lexicon_broadcast_rows: int = 500_000
 
 
 @dataclass(frozen=True)
