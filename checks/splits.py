@@ -72,22 +72,22 @@ def stratified_split_quotas(t):
 
 @query(STRATIFIED)
 def stratified_split_by_label(t):
-    return stratified_split(items(t))
+    return stratified_split(items(t)).drop("dataset")
 
 
 @query(STRATIFIED)
 def stratified_split_in_slices(t):
-    return stratified_split(items(t), SLICED)
+    return stratified_split(items(t), SLICED).drop("dataset")
 
 
 @query(SOURCE_AWARE)
 def source_aware_split_by_group(t):
-    return source_aware_split(items(t))
+    return source_aware_split(items(t)).drop("dataset")
 
 
 @query(SOURCE_AWARE)
 def source_aware_split_in_slices(t):
-    return source_aware_split(items(t), SplitOptions(rank_rows=4))
+    return source_aware_split(items(t), SplitOptions(rank_rows=4)).drop("dataset")
 
 
 @query(
@@ -96,17 +96,17 @@ def source_aware_split_in_slices(t):
 def source_aware_split_without_source(t):
     """Rows without a publisher are grouped by their corpus."""
     blank = F.when(F.col("source") != "src1", F.col("source"))
-    return source_aware_split(items(t).withColumn("source", blank))
+    return source_aware_split(items(t).withColumn("source", blank)).drop("dataset")
 
 
 @query(FOLDS)
 def cross_validation_by_label(t):
-    return cross_validation_folds(items(t))
+    return cross_validation_folds(items(t)).drop("dataset")
 
 
 @query(FOLDS)
 def cross_validation_in_slices(t):
-    return cross_validation_folds(items(t), SLICED)
+    return cross_validation_folds(items(t), SLICED).drop("dataset")
 
 
 @query(
@@ -114,7 +114,7 @@ def cross_validation_in_slices(t):
     FROM ({FOLDS}) f, range(5) x(g)"""
 )
 def cross_validation_members(t):
-    return fold_members(cross_validation_folds(items(t)))
+    return fold_members(cross_validation_folds(items(t))).drop("dataset")
 
 
 @query(
@@ -150,7 +150,7 @@ def rows_of_test_split(t):
     FROM (SELECT *, CAST(concat('0x', substring(md5(concat('-7|', id)), 1, 8)) AS BIGINT) AS p FROM ({ROWS}))"""
 )
 def approximate_split_by_hash(t):
-    return approximate_split(items(t))
+    return approximate_split(items(t)).drop("dataset")
 
 
 # Copies: every third id five times, and one id as often as all others together.
@@ -168,17 +168,17 @@ def _by_row(sql: str, group: str) -> str:
 
 @query(_by_row(STRATIFIED, "id, label, split"))
 def stratified_split_of_copies(t):
-    return stratified_split(t.adapt(COPIED), SLICED)
+    return stratified_split(t.adapt(COPIED), SLICED).drop("dataset")
 
 
 @query(_by_row(SOURCE_AWARE, "id, source, label, split"))
 def source_aware_split_of_copies(t):
-    return source_aware_split(t.adapt(COPIED), SplitOptions(rank_rows=4))
+    return source_aware_split(t.adapt(COPIED), SplitOptions(rank_rows=4)).drop("dataset")
 
 
 @query(_by_row(FOLDS, "id, label, fold"))
 def cross_validation_of_copies(t):
-    return cross_validation_folds(t.adapt(COPIED), SLICED)
+    return cross_validation_folds(t.adapt(COPIED), SLICED).drop("dataset")
 
 
 @query(
@@ -193,3 +193,19 @@ def all_split_sizes(t):
         sizes = rows.groupBy(part).agg(F.sum("copies").alias("n")).select(F.lit(scheme).alias("scheme"), "part", "n")
         out = sizes if out is None else out.unionByName(sizes)
     return out
+
+
+# The labelled items as two corpora that share their ids.
+SHARED = """
+    SELECT id, source, label, dataset FROM ({items}) UNION ALL SELECT id, source, label, 'copies' AS dataset FROM ({items}) WHERE label <> 'true'
+"""
+
+
+@query(f"SELECT dataset, label, count(*) AS n, count(*) AS parts FROM ({SHARED.replace('{items}', SPLIT_ITEMS)}) WHERE label <> 'unknown' GROUP BY ALL")
+def splits_of_shared_ids(t):
+    """Every part row joins back to exactly one item, and every item is in one part."""
+    rows = t.adapt(SHARED.replace("{items}", SPLIT_ITEMS))
+    parts = [split_rows(rows, stratified_split(rows), name) for name in ("train", "validation", "test")]
+    joined = stratified_split(rows).join(rows, ["dataset", "id", "label"]).groupBy("dataset", "label").agg(F.count(F.lit(1)).alias("n"))
+    found = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("dataset", "label").agg(F.count(F.lit(1)).alias("parts"))
+    return joined.join(found, ["dataset", "label"])

@@ -15,6 +15,7 @@ def hashed_ranks(
     seed: int,
     rank_rows: int = 1_000_000,
     few_groups: bool = False,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Rank the rows of each group in the order of a seeded hash of their id.
 
@@ -27,11 +28,12 @@ def hashed_ranks(
       size. The slices are ordered like the hash, so the rank is the rank in the slice plus the number of
       rows in the slices before it.
 
-    ``few_groups`` says that the number of groups has a fixed bound, so that their sizes may be broadcast.
+    ``also`` names columns that, with the id, identify a row: equal ids that differ in them are ranked one after the
+    other. ``few_groups`` says that the number of groups has a fixed bound, so that their sizes may be broadcast.
     """
-    groups = list(groups)
+    groups, also = list(groups), list(also)
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(id_column).cast("string")))
-    units = df.groupBy(*groups, id_column).agg(F.count(F.lit(1)).alias("copies"))
+    units = df.groupBy(*groups, *also, id_column).agg(F.count(F.lit(1)).alias("copies"))
 
     large = (
         df.groupBy(*groups)
@@ -51,7 +53,7 @@ def hashed_ranks(
     offsets = slice_rows.select(*groups, "_slice", F.sum("_rows").over(before).alias("_offset"))
 
     part = Window.partitionBy(*groups, "_slice")
-    earlier = part.orderBy("_hash", id_column).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = part.orderBy("_hash", id_column, *also).rowsBetween(Window.unboundedPreceding, -1)
     # The explicit repartition keeps the slices of one group apart: the partitioning of the join by group would
     # otherwise satisfy the window and bring a whole group into one task. The hash is computed again behind it
     # rather than shuffled.
@@ -63,4 +65,4 @@ def hashed_ranks(
         .join(offsets, [*groups, "_slice"], "left")
     )
     first = F.coalesce("_offset", zero) + F.col("_in_slice") + 1
-    return ranked.select(*groups, id_column, "copies", first.alias("first_rank"), "group_rows")
+    return ranked.select(*groups, *also, id_column, "copies", first.alias("first_rank"), "group_rows")

@@ -2,7 +2,8 @@
 
 All of them order rows by ``md5(seed|id)``, so membership depends only on the ids and the seed. Copies of an id are
 rows of their own, as in a row-wise split: the result has one row per (id, part) with ``copies``, the number of rows
-of that id in that part. ``copies`` is 1 throughout when ids are unique.
+of that id in that part. ``copies`` is 1 throughout when ids are unique. Where the metadata has a ``dataset``, a row is
+identified by ``dataset`` and ``id``, and results have both.
 """
 
 from __future__ import annotations
@@ -18,6 +19,11 @@ from veracity_prep.options import SplitOptions
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
 
+def _corpus(metadata: DataFrame) -> list[str]:
+    """The column that tells equal ids of two corpora apart, if there is one."""
+    return ["dataset"] if "dataset" in metadata.columns else []
+
+
 def _share_of_rest(options: SplitOptions) -> float:
     return options.val_size / (1 - options.test_size)
 
@@ -88,15 +94,15 @@ def stratified_quotas(rows: DataFrame, options: SplitOptions) -> DataFrame:
 
 
 def stratified_split(metadata: DataFrame, options: SplitOptions | None = None) -> DataFrame:
-    """Split by label with exact quotas: ``id, label, split, copies``."""
-    options = options or SplitOptions()
-    rows = metadata.select("id", "label").where(splittable(F.col("label")))
-    ranked = hashed_ranks(rows, ["label"], "id", options.seed, options.rank_rows, few_groups=True)
+    """Split by label with exact quotas: ``[dataset,] id, label, split, copies``."""
+    options, corpus = options or SplitOptions(), _corpus(metadata)
+    rows = metadata.select(*corpus, "id", "label").where(splittable(F.col("label")))
+    ranked = hashed_ranks(rows, ["label"], "id", options.seed, options.rank_rows, few_groups=True, also=corpus)
     quotas = F.broadcast(stratified_quotas(rows, options))  # one row per splittable label
     ranked = ranked.join(quotas, "label")
     zero, train, rest = F.lit(0), F.col("train"), F.col("train") + F.col("validation")
     bounds = [(TRAIN, zero, train), (VALIDATION, train, rest), (TEST, rest, F.col("n"))]
-    return _emit(ranked, bounds, ["id", "label"])
+    return _emit(ranked, bounds, [*corpus, "id", "label"])
 
 
 def split_source(options: SplitOptions) -> Column:
@@ -106,15 +112,15 @@ def split_source(options: SplitOptions) -> Column:
 
 
 def source_aware_split(metadata: DataFrame, options: SplitOptions | None = None) -> DataFrame:
-    """Split every (source, label) group by itself: ``id, source, label, split, copies``.
+    """Split every (source, label) group by itself: ``[dataset,] id, source, label, split, copies``.
 
     Groups of one or two rows go to train. With ``drop_null_source`` rows without a source are left out;
     otherwise ``metadata`` needs a ``dataset`` column to stand in for it.
     """
-    options = options or SplitOptions()
-    rows = metadata.select("id", split_source(options).alias("source"), "label")
+    options, corpus = options or SplitOptions(), _corpus(metadata)
+    rows = metadata.select(*corpus, "id", split_source(options).alias("source"), "label")
     rows = rows.where(splittable(F.col("label")) & F.col("source").isNotNull())
-    ranked = hashed_ranks(rows, ["source", "label"], "id", options.seed, options.rank_rows)
+    ranked = hashed_ranks(rows, ["source", "label"], "id", options.seed, options.rank_rows, also=corpus)
     n, small = F.col("group_rows"), F.col("group_rows") < 3
     test = F.when(small, F.lit(0)).otherwise(F.ceil(n * F.lit(options.test_size)))
     ranked = ranked.withColumn("_test", test)
@@ -125,19 +131,19 @@ def source_aware_split(metadata: DataFrame, options: SplitOptions | None = None)
         (VALIDATION, F.col("_test"), F.col("_held")),
         (TRAIN, F.col("_held"), n),
     ]
-    return _emit(ranked, bounds, ["id", "source", "label"])
+    return _emit(ranked, bounds, [*corpus, "id", "source", "label"])
 
 
 def cross_validation_folds(metadata: DataFrame, options: SplitOptions | None = None) -> DataFrame:
-    """Stratified folds: ``id, label, fold, copies``. Fold *k* validates on its rows and trains on all others.
+    """Stratified folds: ``[dataset,] id, label, fold, copies``. Fold *k* validates on its rows and trains on all others.
 
     The rows of a label are dealt out one by one over the folds; each label starts where the one before it ended, in
     label order, so that the folds also agree in size.
     """
-    options = options or SplitOptions()
+    options, corpus = options or SplitOptions(), _corpus(metadata)
     k = options.n_folds
-    rows = metadata.select("id", "label").where(splittable(F.col("label")))
-    ranked = hashed_ranks(rows, ["label"], "id", options.seed, options.rank_rows, few_groups=True)
+    rows = metadata.select(*corpus, "id", "label").where(splittable(F.col("label")))
+    ranked = hashed_ranks(rows, ["label"], "id", options.seed, options.rank_rows, few_groups=True, also=corpus)
     every = Window.partitionBy(F.lit(1))
     before = every.orderBy("label").rowsBetween(Window.unboundedPreceding, -1)
     too_many = F.when(F.max("n").over(every) < k, F.raise_error(F.lit("more folds than rows of any label")))
@@ -157,7 +163,8 @@ def cross_validation_folds(metadata: DataFrame, options: SplitOptions | None = N
         ]
     )
     hit = F.explode(F.filter(folds, lambda p: p["copies"] > 0)).alias("_part")
-    return ranked.select("id", "label", hit).select("id", "label", "_part.fold", "_part.copies")
+    keep = [*corpus, "id", "label"]
+    return ranked.select(*keep, hit).select(*keep, "_part.fold", "_part.copies")
 
 
 def fold_members(folds: DataFrame, options: SplitOptions | None = None) -> DataFrame:
@@ -166,7 +173,7 @@ def fold_members(folds: DataFrame, options: SplitOptions | None = None) -> DataF
     k = options.n_folds
     sides = folds.withColumnRenamed("fold", "_own").withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
     split = F.when(F.col("fold") == F.col("_own"), VALIDATION).otherwise(TRAIN)
-    return sides.groupBy("fold", split.alias("split"), "id", "label").agg(F.sum("copies").alias("copies"))
+    return sides.groupBy("fold", split.alias("split"), *_corpus(folds), "id", "label").agg(F.sum("copies").alias("copies"))
 
 
 def approximate_split(metadata: DataFrame, options: SplitOptions | None = None) -> DataFrame:
@@ -175,7 +182,7 @@ def approximate_split(metadata: DataFrame, options: SplitOptions | None = None)
     Part sizes are right in expectation only; all copies of an id land in the same part.
     """
     options = options or SplitOptions()
-    rows = metadata.select("id", "label").where(splittable(F.col("label")))
+    rows = metadata.select(*_corpus(metadata), "id", "label").where(splittable(F.col("label")))
     digest = F.md5(F.concat_ws("|", F.lit(str(options.seed)), F.col("id").cast("string")))
     point = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     test = int(options.test_size * 2**32)
@@ -185,8 +192,9 @@ def approximate_split(metadata: DataFrame, options: SplitOptions | None = None)
 
 
 def split_rows(metadata: DataFrame, split: DataFrame, name: str) -> DataFrame:
-    """The metadata rows whose id belongs to a part."""
-    return metadata.join(split.where(F.col("split") == name).select("id"), "id", "left_semi")
+    """The metadata rows that belong to a part, by id and, where both have it, dataset."""
+    keys = ["id", *(c for c in _corpus(metadata) if c in split.columns)]
+    return metadata.join(split.where(F.col("split") == name).select(*keys), keys, "left_semi").select(*metadata.columns)
 
 
 def split_report(split: DataFrame, by: str = "label") -> DataFrame:
