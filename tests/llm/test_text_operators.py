@@ -126,6 +126,32 @@ def test_proposals_learn_from_valid_spans(spark):
     assert all(s.startswith("phone:11:28") and "," not in s for k, s in spans.items() if k < 400)
 
 
+def test_disguised_addresses_and_plain_numbers(spark):
+    planted = {
+        0: ("Write to jane.doe (at) mail dot example dot org today", "jane.doe (at) mail dot example dot org", "address"),
+        1: ("you may call (407) 555-1230 at any hour", "(407) 555-1230", "number"),
+        2: ("the office, 407-555-1230, is open", "407-555-1230", "number"),
+        3: ("und 020 7946 0958 war es", "020 7946 0958", "number"),
+        4: ("so jim [at] host [dot] com it is", "jim [at] host [dot] com", "address"),
+        5: ("and bob.smith@host dot net is", "bob.smith@host dot net", "address"),
+        6: ("or ann at example dot com.", "ann at example dot com", "address"),
+    }
+    none = ["on 2024-01-12 we met", "see you @ home. Then we went", "it was 4111 1111 1111 1112 of it", "part 123456789 of it", "from 999.20.300.4 came", "10 @ 5.99 each", "look (at) this. And that"]
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select((F.col("doc_id") + 1000).alias("doc_id"), "text")
+    rows = [(k, t) for k, (t, _, _) in planted.items()] + [(100 + k, t) for k, t in enumerate(none)]
+    few = spark.createDataFrame(rows, "doc_id long, text string")
+    for docs in (few, few.unionByName(real)):
+        model = pii.train(docs)
+        assert set(model.thresholds) == set(pii.PROPOSED)
+        got = {r.doc_id: r.found for r in pii.personal_spans(docs.where("doc_id < 1000"), "found", model).collect()}
+        for k, (text, hit, kind) in planted.items():
+            at = text.index(hit)
+            assert [(s.kind, s.start, s.end) for s in got[k]] == [(kind, at, at + len(hit))], text
+        assert [none[k - 100] for k, spans in got.items() if k >= 100 and spans] == []
+    out = {r.doc_id: r.text for r in pii.redacted(few, "found").collect()}
+    assert out[0] == "Write to [ADDRESS] today" and out[1] == "you may call [NUMBER] at any hour"
+
+
 def test_ledger_scans_unseen_pairs_only(spark, tmp_path):
     ledger = f"file://{tmp_path}/ledger"
     one = spark.createDataFrame([(1, "token = abcdefgh"), (2, "token = abcdefgh"), (3, "none")], "doc_id long, text string")
