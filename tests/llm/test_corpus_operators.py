@@ -176,6 +176,23 @@ def test_licences_and_inheritance(spark):
     assert licences.licences(files).count() == len(rows) and licences.licences(files.limit(0)).count() == 0
 
 
+def test_whole_licence_files_and_inheritance_over_two_levels(spark):
+    texts = {r.licence: r.notice for r in licences.templates(spark).where("length(notice) > 900").collect()}
+    assert {"Apache-2.0", "MIT", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(texts)
+    rows = []
+    for name, text in texts.items():
+        rows += [(name, f"{name}/LICENSE", "Copyright (c) 2021 Some One Else\n\n" + " ".join(text.split())), (name, f"{name}/a/b/x.txt", "plain words")]
+    got = licences.licences(spark.createDataFrame(rows, "id string, path string, text string")).collect()
+    assert {(r.id, r.licence, r.basis) for r in got} == {(k, k, basis) for k in texts for basis in ("own", "inherited")} and len(got) == len(rows)
+
+
+def test_notice_terms_outside_templates_have_their_frequency(spark):
+    # The same foreign words beside each notice say little, so they don't hide the licence.
+    rows = [(k, f"f{k}/x.txt", "Released under the MIT License. qaa qbb qcc qdd qee\n" + "plain words\n" * 20) for k in range(200)]
+    got = licences.licences(spark.createDataFrame(rows, "id long, path string, text string")).collect()
+    assert {r.licence for r in got} == {"MIT"}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 

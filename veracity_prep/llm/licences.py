@@ -7,7 +7,8 @@ IDF over all notices; the cosine to each template is a sum over shared terms onl
 take that of the nearest ancestor directory that has one. Directories are resolved first, once each, so a directory
 that holds a third of all files is one row when ancestors are joined.
 
-The templates and their terms are fixed and small; they alone are broadcast. All of it is DataFrame work.
+Templates are one-sentence notices and the full texts in ``licence_texts``. They and their terms are fixed and small and
+alone are broadcast; the document frequencies of all terms are joined in ``SALTS`` copies, so that no term is one task. All of it is DataFrame work.
 
 Nulls and edge cases: null and empty texts have no notices; a null path has no directory and inherits nothing; of
 equal cosines the licence whose name sorts first wins; repeated rows come back each. Extra columns are ignored.
@@ -15,12 +16,15 @@ equal cosines the licence whose name sorts first wins; repeated rows come back e
 
 from __future__ import annotations
 
+import pkgutil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracity_prep.llm.shared import cut
 
 COSINE = 0.6
+SALTS = 16
 CUES = r"(?i)licen[sc]e|copyright|permission is hereby|redistribution|spdx-|warrant(?:y|ies)|public domain|all rights reserved"
 FILE_NAME = r"(?i)(?:^|/)(?:licen[sc]e|copying|copyright|unlicense)[^/]*$"
 
@@ -47,6 +51,9 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved. No part may be reproduced without written permission."),
 )
 
+#: Licences whose full text is in ``licence_texts``.
+FULL_TEXTS = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0")
+
 
 def terms_of(text: Column) -> Column:
     """Lower-case words and numbers of a text."""
@@ -54,7 +61,8 @@ def terms_of(text: Column) -> Column:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    rows = [(k, name, text) for k, (name, text) in enumerate(TEMPLATES)]
+    whole = [(name, pkgutil.get_data(__package__, f"licence_texts/{name}.txt").decode()) for name in FULL_TEXTS]
+    rows = [(k, name, text) for k, (name, text) in enumerate([*TEMPLATES, *whole])]
     return spark.createDataFrame(rows, "template int, licence string, notice string")
 
 
@@ -79,13 +87,14 @@ def own_licences(files: DataFrame) -> DataFrame:
     total = found.select("row", "n").distinct().count()
     texts = templates(spark).select("template", "licence", F.explode(terms_of(F.col("notice"))).alias("term"))
     texts = texts.groupBy("template", "licence", "term").agg(F.count("*").alias("tf"))
-    # The terms of the fixed templates: a few hundred rows.
-    known = F.broadcast(texts.select("term").distinct())
-    held = found.join(known, "term").groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log((F.lit(total) + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
-    weights = F.broadcast(texts.select("term").distinct().join(held, "term", "left").select("term", idf.alias("idf")))
-    rare = F.log(F.lit(total) + 1.0) + 1
-    weighed = found.join(weights, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", rare))
+    held = cut(found.groupBy("term").agg(F.count("*").alias("df")), "notice-frequencies")
+    copies = held.select("term", idf.alias("idf"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salt = F.pmod(F.xxhash64("row", "n"), F.lit(SALTS)).cast("int")
+    weighed = found.withColumn("salt", salt).join(copies, ["term", "salt"]).withColumn("w", F.col("tf") * F.col("idf")).drop("salt")
+    # The terms of the fixed templates: a few thousand rows.
+    terms = F.broadcast(texts.select("term").distinct())
+    weights = F.broadcast(terms.join(held.join(terms, "term", "left_semi"), "term", "left").select("term", idf.alias("idf")))
     lengths = weighed.groupBy("row", "n").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     sides = texts.join(weights, "term").withColumn("u", F.col("tf") * F.col("idf"))
     unit = sides.groupBy("template").agg(F.sqrt(F.sum(F.col("u") * F.col("u"))).alias("unit"))
