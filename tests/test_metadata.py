@@ -11,8 +11,10 @@ from veracity_prep.operators.lists import grouped_lists
 from veracity_prep.operators.metadata import flat_metadata, last_by_key, link_images, union_corpora
 from veracity_prep.operators.stats import dataset_statistics, download_summary
 from veracity_prep.options import ImageOptions, Options, SplitOptions
+from veracity_prep.plans.image_corpora import article_manifest
 from veracity_prep.plans.integrate import IntegratedTables, article_image_records, build_metadata, simplify
 from veracity_prep.plans.run import CORPORA, Corpus, Paths, register_corpus, run
+from veracity_prep.sources.images import manifest_images
 
 
 @pytest.mark.parametrize("list_rows", [1, 3, 10, 1000])
@@ -51,6 +53,27 @@ def test_link_images(spark):
     assert (rows["politifact_1"]["image_count"], rows["politifact_1"]["has_images"], rows["politifact_1"]["image_paths"]) == (0, False, "[]")
 
 
+@pytest.mark.parametrize("list_rows", [1, 4, 100])
+def test_no_item_is_lost_by_the_size_of_its_list(spark, list_rows):
+    rows = [("s", "fake", str(k), f"{i}.jpg") for k, n in ((1, 9), (2, 1), (3, 4)) for i in range(n)]
+    inventory = spark.createDataFrame(rows, "source string, label string, article_id string, name string")
+    contents = spark.createDataFrame([("s", "fake", str(k), f"c{k}") for k in (1, 2, 3)], "source string, label string, article_id string, content_file string")
+    lists = article_manifest(inventory, contents, list_rows)
+    assert Counter(map(tuple, manifest_images(*lists).collect())) == Counter((*r, f"c{r[2]}") for r in rows)
+    parts = grouped_lists(inventory, ["source", "article_id"], F.col("name"), list_rows).parts().collect()
+    assert Counter((r.article_id, i) for r in parts for i in r["items"]) == Counter((r[2], r[3]) for r in rows)
+
+
+def test_run_writes_links_of_long_lists(spark, tmp_path):
+    paths = Paths(output=f"file://{tmp_path}", corpora={"statements": "unread"})
+    pics = spark.createDataFrame([("gossipcop", "1", f"/p/{i}", f"/o/{i}", [i, 2], 0.5) for i in range(9)], "source string, article_id string, processed_path string, original_path string, original_size array<int>, aspect_ratio double")
+    pics.write.parquet(paths.table("images", "articles"))
+    spark.createDataFrame([("1", "true")], "id string, label string").write.parquet(paths.table("text", "statements"))
+    run(spark, paths, Options(list_rows=2), stages=["metadata"])
+    links = spark.read.parquet(paths.table("metadata", "article_image_links")).select("source", "article_id", F.inline("items")).collect()
+    assert {(r.article_id, r.original_path, r["size"][0]) for r in links} == {("1", f"/o/{i}", i) for i in range(9)} and len(links) == 9
+
+
 def test_last_by_key(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, None), ("b", 2, "y"), ("", 9, "z"), (None, 9, "z")], "id string, p int, t string")
     assert {tuple(r) for r in last_by_key(df, ["id"], "p", ["t"]).collect()} == {("a", None), ("b", "y")}

@@ -19,6 +19,12 @@ class GroupedLists(NamedTuple):
     by_key: DataFrame
     chunks: DataFrame
 
+    def parts(self) -> DataFrame:
+        """Every item of every key as rows ``chunk, items``; the whole list of a smaller key is its chunk 0."""
+        names = [c for c in self.chunks.columns if c not in ("chunk", "items")]
+        whole = self.by_key.where(F.col("items").isNotNull()).select(*names, F.lit(0).cast("bigint").alias("chunk"), "items")
+        return whole.unionByName(self.chunks)
+
 
 def grouped_lists(df: DataFrame, keys: Sequence[str], item: Column, list_rows: int = 100_000) -> GroupedLists:
     """Sorted item lists by key, repeats kept, no row with much more than ``list_rows`` items.

@@ -67,7 +67,8 @@ def link_images(metadata: DataFrame, images: DataFrame, list_rows: int = 100_000
     """Add ``image_count``, ``has_images`` and ``image_paths`` (JSON) to article metadata.
 
     The count an article states about itself is kept as ``declared_image_count``. ``image_paths`` is NULL for
-    articles above ``list_rows`` images, whose links are in the chunks of :func:`article_image_links`.
+    articles above ``list_rows`` images, whose links are in the parts of :func:`article_image_links`; :func:`~veracity_prep.plans.run.run` writes
+    those of all articles as ``metadata/article_image_links``.
     """
     links = article_image_links(images, list_rows).by_key
     if "image_count" in metadata.columns:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from veracity_prep import schemas
+from veracity_prep.operators.metadata import article_image_links
 from veracity_prep.operators.splits import make_splits
 from veracity_prep.operators.stats import dataset_statistics
 from veracity_prep.options import Options
@@ -115,6 +116,8 @@ def _write_metadata(spark: SparkSession, paths: Paths, options: Options) -> None
     tables = build_metadata(corpora, article_images, options.list_rows, spark)
     for name, metadata in tables.by_corpus.items():
         write_table(metadata, paths.table("metadata", "corpora", name), fmt="csv")
+    links = article_image_links(article_images, options.list_rows)
+    write_table(links.parts(), paths.table("metadata", "article_image_links"))
     write_table(tables.combined, paths.table("metadata", "combined"), "dataset")
     combined = read_existing(spark, paths.table("metadata", "combined"))
     write_table(dataset_statistics(combined), paths.table("metadata", "statistics"))
