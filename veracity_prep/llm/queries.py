@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracity_prep.llm import bpe, decontaminate, html_extract, licences, near_dedup, pii, quality, secret_scan, substring_dedup, topk
+from veracity_prep.llm import bpe, decontaminate, html_extract, licences, merkle, near_dedup, pii, quality, secret_scan, substring_dedup, topk
 from veracity_prep.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,59 @@ SELECT t.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER
   coalesce(string_agg(span, ',' ORDER BY start, place), '') AS spans
 FROM texts t LEFT JOIN spans s ON t.doc_id = s.doc_id GROUP BY t.doc_id
 """
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose id has an even CRC-32 are tampered with: their text loses its line ends."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.digests(table(spark, sf_dir, "documents"), tampered, ("text", F.replace("text", F.lit("\n"), F.lit(""))))
+
+
+def _leaf(text: str) -> str:
+    """SQL of the leaf of a document whose text is ``text``."""
+    columns = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in columns) + ")"
+
+
+def _levels(name: str, key: str, start: str) -> str:
+    """SQL of all levels of each tree as lists of digests."""
+    return f"""
+{name} AS (
+  {start} UNION ALL
+  SELECT {key}, level + 1, list_transform(range(0, (len(nodes) + 2) // 3), lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], ''))) FROM {name} WHERE len(nodes) > 1
+)"""
+
+
+_SIBLINGS = "array_to_string(nodes[3 * (spot // 3) + 1:spot], '') AS before, array_to_string(nodes[spot + 2:3 * (spot // 3) + 3], '') AS after"
+_STEP = "(CASE WHEN i % 8 = 0 THEN xor(c, CAST(ascii(substr(id, i // 8 + 1, 1)) AS BIGINT)) ELSE c END)"
+SQL["op11_merkle"] = rf"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS row_id,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf, CASE WHEN crc % 2 = 0 THEN changed ELSE leaf END AS own
+  FROM (
+    SELECT doc_id, source, {_leaf("text")} AS leaf, {_leaf("replace(text, chr(10), '')")} AS changed,
+      xor(list_reduce(range(0, 8 * length(id)), lambda c, i: xor({_STEP} >> 1, 3988292384 * ({_STEP} & 1)), CAST(4294967295 AS BIGINT)), 4294967295) AS crc
+    FROM (SELECT *, CAST(doc_id AS VARCHAR) AS id FROM documents)
+  )
+), {_levels("levels", "source", "SELECT source, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM leaves GROUP BY source")},
+subroots AS (SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree_pos FROM levels WHERE len(nodes) = 1),
+{_levels("tops", "one", "SELECT 1 AS one, 0 AS level, list(subroot ORDER BY tree_pos) AS nodes FROM subroots")},
+steps AS (
+  SELECT row_id, level AS step, {_SIBLINGS}
+  FROM (SELECT l.row_id, v.level, v.nodes, l.pos // CAST(pow(3, v.level) AS BIGINT) AS spot FROM leaves l JOIN levels v ON l.source IS NOT DISTINCT FROM v.source WHERE len(v.nodes) > 1)
+  UNION ALL
+  SELECT row_id, 1000 + level, {_SIBLINGS}
+  FROM (
+    SELECT l.row_id, t.level, t.nodes, s.tree_pos // CAST(pow(3, t.level) AS BIGINT) AS spot
+    FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source CROSS JOIN tops t WHERE len(t.nodes) > 1
+  )
+), path AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY step) AS n FROM steps),
+folds AS (
+  SELECT row_id, CAST(0 AS BIGINT) AS n, own AS digest FROM leaves
+  UNION ALL SELECT f.row_id, p.n, sha256(p.before || f.digest || p.after) FROM folds f JOIN path p ON p.row_id = f.row_id AND p.n = f.n + 1
+), proofs AS (SELECT row_id, sha256(string_agg(before || after, '' ORDER BY n)) AS proof_sha256 FROM path GROUP BY row_id)
+SELECT l.doc_id, l.leaf, s.subroot, t.nodes[1] AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = t.nodes[1] AS verified
+FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN (SELECT * FROM tops WHERE len(nodes) = 1) t ON true
+JOIN (SELECT row_id, max_by(digest, n) AS folded_root FROM folds GROUP BY row_id) f ON f.row_id = l.row_id LEFT JOIN proofs p ON p.row_id = l.row_id
+"""
