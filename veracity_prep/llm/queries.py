@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracity_prep.llm import bpe, decontaminate, html_extract, licences, merkle, near_dedup, pii, quality, secret_scan, substring_dedup, topk
+from veracity_prep.llm import bpe, decontaminate, hard_negatives, html_extract, licences, merkle, multi_index, near_dedup, pii, quality, secret_scan, substring_dedup, topk
 from veracity_prep.llm.shared import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,35 @@ SELECT l.doc_id, l.leaf, s.subroot, t.nodes[1] AS root, coalesce(p.proof_sha256,
 FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source JOIN (SELECT * FROM tops WHERE len(nodes) = 1) t ON true
 JOIN (SELECT row_id, max_by(digest, n) AS folded_root FROM folds GROUP BY row_id) f ON f.row_id = l.row_id LEFT JOIN proofs p ON p.row_id = l.row_id
 """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh label is moved on by one, as a label that is wrong in part of the rows would be."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+SQL["op12_hard_negatives"] = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CASE WHEN len(a.v) = 0 THEN 0 ELSE CAST(list_dot_product(a.v, c.v) AS BIGINT) END AS score
+  FROM vectors a JOIN vectors c ON len(a.v) = len(c.v) AND a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 3
+"""
+
+
+@query
+def op13_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
