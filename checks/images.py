@@ -105,22 +105,21 @@ TWEETS = f"SELECT image_id, count(*) AS n, string_agg(tweet_id, ' ' ORDER BY twe
 
 @query(f"SELECT l.image_id, t.n AS tweet_count, t.ids AS tweet_ids FROM ({LIST}) l LEFT JOIN ({TWEETS}) t ON t.image_id = l.image_id")
 def listed_images_with_tweets(t):
-    return with_tweets(image_list(t), tweet_list(t)).select(
+    return with_tweets(image_list(t), image_tweets(tweet_list(t))).select(
         "image_id", "tweet_count", F.array_join("tweet_ids", " ").alias("tweet_ids")
     )
 
 
-@query(f"SELECT image_id, n, n > 20 AS is_large, ids FROM ({TWEETS})")
+@query(
+    f"""SELECT image_id, n, chunk, string_agg(tweet_id, ' ' ORDER BY tweet_id) AS ids FROM (
+        SELECT image_id, tweet_id, count(*) OVER (PARTITION BY image_id) AS n,
+            (row_number() OVER (PARTITION BY image_id ORDER BY tweet_id) - 1) // 20 AS chunk FROM ({MAPPING}))
+    GROUP BY image_id, n, chunk"""
+)
 def image_tweets_in_chunks(t):
-    """Lists above 20 tweets go to chunks; together they are whole."""
+    """Twenty tweets to a row; the rows of an image, one after the other, are its sorted list."""
     lists = image_tweets(tweet_list(t), list_rows=20)
-    pieces = lists.chunks.select("image_id", F.explode("items").alias("tweet_id")).unionByName(
-        lists.by_key.select("image_id", F.explode("items").alias("tweet_id"))
-    )
-    whole = pieces.groupBy("image_id").agg(F.array_join(F.array_sort(F.collect_list("tweet_id")), " ").alias("ids"))
-    return lists.by_key.join(whole, "image_id").select(
-        "image_id", F.col("item_count").alias("n"), F.col("items").isNull().alias("is_large"), "ids"
-    )
+    return lists.select("image_id", F.col("item_count").alias("n"), "chunk", F.array_join("items", " ").alias("ids"))
 
 
 def _properties(t: Inputs):
@@ -138,7 +137,7 @@ def _properties(t: Inputs):
     FROM {_JOINED} JOIN ({FILES}) f ON f.annotation = l.a AND f.image_id = l.image_id LEFT JOIN ({TWEETS}) t ON t.image_id = l.image_id"""
 )
 def listed_image_records(t):
-    records = build_listed_images(image_list(t), _properties(t), tweet_list(t), "/out")
+    records = build_listed_images(image_list(t), _properties(t), image_tweets(tweet_list(t)), "/out")
     return records.select(
         "image_id", "annotation", "event", "image_url", "original_path", "processed_path",
         F.col("original_size")[0].alias("width"), F.round("aspect_ratio", 9).alias("ratio"), "format",
@@ -152,7 +151,7 @@ def listed_image_records(t):
     FROM {_JOINED} JOIN ({FILES}) f ON f.annotation = l.a AND f.image_id = l.image_id"""
 )
 def listed_image_summary(t):
-    return image_summary(build_listed_images(image_list(t), _properties(t), tweet_list(t), "/out"), "image_id", "annotation")
+    return image_summary(build_listed_images(image_list(t), _properties(t), image_tweets(tweet_list(t)), "/out"), "image_id", "annotation")
 
 
 _EXT = r"regexp_extract(regexp_extract(image_url, '[^/]*$'), '^\.*[^.].*(\.[^.]*)$', 1)"
@@ -196,13 +195,21 @@ def _inventory_rows(t: Inputs):
     return t.adapt(ARTICLE_IMAGES).select("source", "label", "article_id", F.col("original_filename").alias("name"))
 
 
-MANIFEST = f"""SELECT source, label, article_id, count(*) AS image_count, string_agg(original_filename, '|' ORDER BY original_filename) AS images,
-    min(content_file) AS content_file FROM ({ARTICLE_IMAGES}) WHERE article_id <> '' GROUP BY source, label, article_id"""
+def manifest_sql(list_rows: int) -> str:
+    """Articles with ``list_rows`` images to a row."""
+    keys = "source, label, article_id"
+    return f"""SELECT {keys}, image_count, chunk, string_agg(original_filename, '|' ORDER BY original_filename) AS images, min(content_file) AS content_file
+    FROM (SELECT *, count(*) OVER (PARTITION BY {keys}) AS image_count,
+            (row_number() OVER (PARTITION BY {keys} ORDER BY original_filename) - 1) // {list_rows} AS chunk
+        FROM ({ARTICLE_IMAGES}) WHERE article_id <> '') GROUP BY {keys}, image_count, chunk"""
+
+
+MANIFEST = manifest_sql(100_000)
 
 
-def manifest(t: Inputs):
+def manifest(t: Inputs, list_rows: int = 100_000):
     contents = t.adapt(ARTICLE_IMAGES).where("article_id <> ''").select("source", "label", "article_id", "content_file").distinct()
-    return article_manifest(_inventory_rows(t), contents).by_key
+    return article_manifest(_inventory_rows(t), contents, list_rows)
 
 
 @query(MANIFEST)
@@ -210,11 +217,25 @@ def article_image_manifest(t):
     return manifest(t).withColumn("images", F.array_join("images", "|"))
 
 
-@query(f"SELECT source, label, article_id, original_filename AS image_file, content_file FROM ({ARTICLE_IMAGES}) WHERE article_id <> ''")
+@query(manifest_sql(2))
+def article_image_manifest_in_chunks(t):
+    return manifest(t, 2).withColumn("images", F.array_join("images", "|"))
+
+
+ENTRIES = f"SELECT source, label, article_id, original_filename AS image_file, content_file FROM ({ARTICLE_IMAGES}) WHERE article_id <> ''"
+
+
+@query(ENTRIES)
 def manifest_entries(t):
     return manifest_images(manifest(t))
 
 
+@query(ENTRIES)
+def manifest_entries_in_chunks(t):
+    """The same entries, whatever the number of images to a row of the manifest."""
+    return manifest_images(manifest(t, 2))
+
+
 _EXISTING = f"SELECT * FROM ({ARTICLE_IMAGES}) WHERE article_id <> '' AND original_filename <> 'img_1.jpg'"
 
 

@@ -10,7 +10,7 @@ from checks.statements import LABEL, SCORE, statements
 from checks.tables import ARTICLE_IMAGES, STATEMENTS, Inputs, query
 from checks.threads import THREADS, threads
 from veracity_prep.functions.scores import aspect_ratio
-from veracity_prep.operators.metadata import flat_metadata, last_by_key
+from veracity_prep.operators.metadata import article_image_links, flat_metadata, last_by_key
 from veracity_prep.operators.stats import (
     dataset_statistics,
     distribution,
@@ -42,13 +42,19 @@ def corpora(t: Inputs):
 
 
 def combined(t: Inputs):
-    return build_metadata(corpora(t), article_images(t)).combined
+    return build_metadata(corpora(t), article_image_links(article_images(t))).combined
 
 
-LINKS = f"""SELECT source, article_id, count(*) AS n,
+def links_sql(list_rows: int) -> str:
+    """Number of links of each article, and the JSON of the first ``list_rows`` of them."""
+    return f"""SELECT source, article_id, max(of_article) AS n,
         string_agg(concat('{{"path":"', processed_path, '","original_path":"', original_path, '","size":[', width, ',', height, ']'), '+'
-        ORDER BY processed_path) AS paths
-    FROM ({ARTICLE_IMAGES}) WHERE source IN ('gossipcop', 'politifact') AND article_id <> '' GROUP BY source, article_id"""
+        ORDER BY processed_path) FILTER (place <= {list_rows}) AS paths
+    FROM (SELECT *, count(*) OVER (PARTITION BY source, article_id) AS of_article, row_number() OVER (PARTITION BY source, article_id ORDER BY processed_path) AS place
+        FROM ({ARTICLE_IMAGES}) WHERE source IN ('gossipcop', 'politifact') AND article_id <> '') GROUP BY source, article_id"""
+
+
+LINKS = links_sql(100_000)
 COMBINED = f"""
     SELECT 'statements' AS dataset, id, '' AS source, {LABEL} AS label, label AS original_label, true AS has_text, false AS has_images,
         speaker, CAST({SCORE} AS DOUBLE) AS score, CAST(NULL AS VARCHAR) AS event, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS BIGINT) AS image_count,
@@ -79,13 +85,26 @@ def statement_metadata(t):
     )
 
 
-@query(
-    f"""SELECT i.id, i.image_count AS declared_image_count, coalesce(l.n, 0) AS image_count, coalesce(l.n, 0) > 0 AS has_images,
+def linked_sql(list_rows: int) -> str:
+    return f"""SELECT i.id, i.image_count AS declared_image_count, coalesce(l.n, 0) AS image_count, coalesce(l.n, 0) > 0 AS has_images,
         coalesce(l.paths, '') AS paths
-    FROM ({ARTICLE_ITEMS}) i LEFT JOIN ({LINKS}) l ON l.source = i.source AND l.article_id = i.article_id"""
-)
+    FROM ({ARTICLE_ITEMS}) i LEFT JOIN ({links_sql(list_rows)}) l ON l.source = i.source AND l.article_id = i.article_id"""
+
+
+@query(linked_sql(100_000))
 def linked_article_metadata(t):
-    linked = build_metadata({"articles": articles(t)}, article_images(t)).by_corpus["articles"]
+    return _linked(t, 100_000)
+
+
+@query(linked_sql(2))
+def linked_article_metadata_in_chunks(t):
+    """Two links to a row: the metadata hold the first ones, and count all."""
+    return _linked(t, 2)
+
+
+def _linked(t: Inputs, list_rows: int):
+    links = article_image_links(article_images(t), list_rows)
+    linked = build_metadata({"articles": articles(t)}, links).by_corpus["articles"]
     # The ratio is left out of the comparison of the JSON text: its digits differ between engines.
     bare = F.regexp_replace("image_paths", r',"aspect_ratio":[0-9.]+\}', "")
     paths = F.replace(F.regexp_replace(bare, r"^\[|\]$", ""), F.lit("],{"), F.lit("]+{"))
@@ -164,34 +183,36 @@ def integrated_texts(t):
     return corpus_texts(corpora(t)).select("dataset", "id", "raw_text")
 
 
-RECORDS = f"""SELECT source, article_id, count(*) AS n, string_agg(concat(processed_path, ' ', original_filename, ' ', label, ' ',
-    width, 'x', height), '|' ORDER BY processed_path) AS records FROM ({ARTICLE_IMAGES}) WHERE article_id <> '' GROUP BY source, article_id"""
+def records_sql(list_rows: int) -> str:
+    """Image records of the articles with ``list_rows`` images to a row."""
+    return f"""SELECT source, article_id, n, chunk, string_agg(concat(processed_path, ' ', original_filename, ' ', label, ' ',
+        width, 'x', height), '|' ORDER BY processed_path) AS records
+    FROM (SELECT *, count(*) OVER (PARTITION BY source, article_id) AS n,
+            (row_number() OVER (PARTITION BY source, article_id ORDER BY processed_path) - 1) // {list_rows} AS chunk
+        FROM ({ARTICLE_IMAGES}) WHERE article_id <> '') GROUP BY source, article_id, n, chunk"""
+
+
+RECORDS = records_sql(100_000)
 
 
 def _record(i):
     return F.concat_ws(" ", i["path"], i["original_filename"], i["label"], F.array_join(i["original_size"].cast("array<string>"), "x"))
 
 
+def _by_article(t: Inputs, list_rows: int):
+    records = F.array_join(F.transform("items", _record), "|").alias("records")
+    return article_image_records(article_images(t), list_rows).select("source", "article_id", F.col("item_count").alias("n"), "chunk", records)
+
+
 @query(RECORDS)
 def images_by_article(t):
-    lists = article_image_records(article_images(t)).by_key
-    return lists.select(
-        "source", "article_id", F.col("item_count").alias("n"), F.array_join(F.transform("items", _record), "|").alias("records")
-    )
+    return _by_article(t, 100_000)
 
 
-@query(
-    f"""SELECT source, article_id, n, CASE WHEN n <= 2 THEN records END AS records, CASE WHEN n > 2 THEN n END AS in_chunks
-    FROM ({RECORDS})"""
-)
+@query(records_sql(2))
 def images_by_article_in_chunks(t):
-    """Lists above two images go to chunks; together they are whole."""
-    lists = article_image_records(article_images(t), list_rows=2)
-    chunked = lists.chunks.groupBy("source", "article_id").agg(F.sum(F.size("items").cast("bigint")).alias("in_chunks"))
-    return lists.by_key.join(chunked, ["source", "article_id"], "left").select(
-        "source", "article_id", F.col("item_count").alias("n"),
-        F.array_join(F.transform("items", _record), "|").alias("records"), "in_chunks",
-    )
+    """The same columns with two images to a row."""
+    return _by_article(t, 2)
 
 
 def _list_images(t: Inputs):

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from trees import article_images, articles, images, statements, threads
 
-from veracity_prep.operators.lists import grouped_lists
-from veracity_prep.operators.metadata import flat_metadata, last_by_key, link_images, union_corpora
+from veracity_prep.operators.lists import chunked_lists, first_chunks
+from veracity_prep.operators.metadata import article_image_links, flat_metadata, last_by_key, link_images, union_corpora
 from veracity_prep.operators.stats import dataset_statistics, download_summary
 from veracity_prep.options import ImageOptions, Options, SplitOptions
 from veracity_prep.plans.image_corpora import article_manifest
@@ -22,16 +22,25 @@ def test_lists_are_whole(spark, list_rows):
     # Key 0 holds most rows; one item of key 1 is copied many times.
     rows = [(0, f"v{i}") for i in range(60)] + [(1, "same")] * 25 + [(1, "other")] + [(k, "x") for k in range(2, 9)]
     df = spark.createDataFrame(rows, "k int, v string")
-    lists = grouped_lists(df, ["k"], F.col("v"), list_rows)
-    by_key = lists.by_key.collect()
-    chunks = lists.chunks.collect()
-    sizes = Counter(k for k, _ in rows)
-    assert {r["k"]: r["item_count"] for r in by_key} == sizes
-    got = Counter((r["k"], v) for r in [*by_key, *chunks] for v in (r["items"] or ()))
-    assert got == Counter(rows)
-    assert {r["k"] for r in chunks} == {k for k, n in sizes.items() if n > list_rows}
-    assert all((r["items"] is None) == (r["item_count"] > list_rows) for r in by_key)
-    assert all(r["items"] == sorted(r["items"]) for r in by_key if r["items"])
+    rows += [(None, "n")] * 2 + [(None, None), (3, None)]
+    want = {}
+    for k, v in sorted(rows, key=lambda r: (r[1] is not None, r[1] or "")):
+        want.setdefault(k, []).append(v)
+    df = spark.createDataFrame(rows, "k int, v string").repartition(4)
+    chunks = chunked_lists(df, ["k"], F.col("v"), list_rows).collect()
+    assert {(r["k"], r["chunk"]): r["items"] for r in chunks} == {
+        (k, c): v[c * list_rows : (c + 1) * list_rows] for k, v in want.items() for c in range(-(-len(v) // list_rows))
+    }
+    assert len(chunks) == len({(r["k"], r["chunk"]) for r in chunks})
+    assert all(r["item_count"] == len(want[r["k"]]) for r in chunks)
+    assert {r["k"]: r["items"] for r in first_chunks(chunked_lists(df, ["k"], F.col("v"), list_rows)).collect()} == {k: v[:list_rows] for k, v in want.items()}
+
+
+def test_a_large_key_lies_in_several_tasks(spark):
+    df = spark.range(40_000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    chunks = {r["chunk"]: r["items"] for r in chunked_lists(df, ["k"], F.col("v"), 7_000).collect()}
+    assert [v for c in sorted(chunks) for v in chunks[c]] == list(range(40_000)) and len(chunks) == 6
+    assert chunked_lists(df.limit(0), ["k"], F.col("v"), 5).count() == 0
 
 
 def test_flat_metadata(spark):
@@ -46,7 +55,7 @@ def test_link_images(spark):
     meta = spark.createDataFrame([("gossipcop_1", "gossipcop", "1", 7), ("politifact_1", "politifact", "1", 0)], "id string, source string, article_id string, image_count int").withColumn("has_images", F.lit(False))
     pics = spark.createDataFrame([("gossipcop", "1", "/p/b", "/o/b", [1, 2], 0.5), ("gossipcop", "1", "/p/a", "/o/a", [3, 4], 0.75), ("gossipcop", "", "/p/c", "/o/c", [1, 1], 1.0), ("other", "1", "/p/d", "/o/d", [1, 1], 1.0)],
         "source string, article_id string, processed_path string, original_path string, original_size array<int>, aspect_ratio double")
-    rows = {r["id"]: r for r in link_images(meta, pics).collect()}
+    rows = {r["id"]: r for r in link_images(meta, article_image_links(pics)).collect()}
     assert (rows["gossipcop_1"]["declared_image_count"], rows["gossipcop_1"]["image_count"], rows["gossipcop_1"]["has_images"]) == (7, 2, True)
     assert json.loads(rows["gossipcop_1"]["image_paths"]) == [
         {"path": "/p/a", "original_path": "/o/a", "size": [3, 4], "aspect_ratio": 0.75}, {"path": "/p/b", "original_path": "/o/b", "size": [1, 2], "aspect_ratio": 0.5}]
@@ -59,9 +68,8 @@ def test_no_item_is_lost_by_the_size_of_its_list(spark, list_rows):
     inventory = spark.createDataFrame(rows, "source string, label string, article_id string, name string")
     contents = spark.createDataFrame([("s", "fake", str(k), f"c{k}") for k in (1, 2, 3)], "source string, label string, article_id string, content_file string")
     lists = article_manifest(inventory, contents, list_rows)
-    assert Counter(map(tuple, manifest_images(*lists).collect())) == Counter((*r, f"c{r[2]}") for r in rows)
-    parts = grouped_lists(inventory, ["source", "article_id"], F.col("name"), list_rows).parts().collect()
-    assert Counter((r.article_id, i) for r in parts for i in r["items"]) == Counter((r[2], r[3]) for r in rows)
+    assert Counter(map(tuple, manifest_images(lists).collect())) == Counter((*r, f"c{r[2]}") for r in rows)
+    assert {(r.article_id, r.image_count) for r in lists.where("chunk = 0").collect()} == {("1", 9), ("2", 1), ("3", 4)}
 
 
 def test_run_writes_links_of_long_lists(spark, tmp_path):
@@ -170,11 +178,12 @@ def test_simplify_matches_each_kind_of_image(spark):
     fields = "original_size array<int>, aspect_ratio double, format string"
     single = spark.createDataFrame([("i1", "/p", "fake", "e", [1, 2], 0.5, "png")], f"image_id string, path string, annotation string, event string, {fields}")
     linked = spark.createDataFrame([("/q", "f", "g", "fake", "1", [3, 4], 0.75, "jpg")] * 2, f"processed_path string, original_filename string, source string, label string, article_id string, {fields}")
-    for list_rows, images in ((10, ["/q", "/q"]), (1, None)):
+    for list_rows, images in ((10, ["/q", "/q"]), (1, ["/q"])):
         out = simplify(IntegratedTables(meta, texts, single, article_image_records(linked, list_rows)))
         rows = {r["id"]: r for r in out.collect()}
         assert len(rows) == 5
-        assert (rows["g_1"]["images"] and [i["path"] for i in rows["g_1"]["images"]]) == images
+        assert [i["path"] for i in rows["g_1"]["images"]] == images
+        assert {k: r["image_count"] for k, r in rows.items()} == {"g_1": 2, "g_2": 0, "i1": 1, "i2": 0, "t1": 0}
         assert rows["g_2"]["images"] == rows["i2"]["images"] == rows["t1"]["images"] == []
         assert [(i["path"], i["annotation"], i["event"]) for i in rows["i1"]["images"]] == [("/p", "fake", "e")]
         assert tuple(rows["t1"]["text"]) == ("raw", "done") and rows["g_1"]["text"] is None

@@ -1,62 +1,63 @@
-"""Lists of the items of a key, safe for keys that hold a large part of all rows."""
+"""Lists of the items of a key as rows of bounded size, the same for keys of any size."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veracity_prep.operators.shared import fixed
 
-class GroupedLists(NamedTuple):
-    """Every item of every key, in two forms.
-
-    ``by_key``: one row per key with ``item_count`` and ``items``; ``items`` is NULL above the row limit.
-    ``chunks``: the items of exactly those larger keys, as several rows ``chunk, items``.
-    """
-
-    by_key: DataFrame
-    chunks: DataFrame
-
-    def parts(self) -> DataFrame:
-        """Every item of every key as rows ``chunk, items``; the whole list of a smaller key is its chunk 0."""
-        names = [c for c in self.chunks.columns if c not in ("chunk", "items")]
-        whole = self.by_key.where(F.col("items").isNotNull()).select(*names, F.lit(0).cast("bigint").alias("chunk"), "items")
-        return whole.unionByName(self.chunks)
 
+def chunked_lists(df: DataFrame, keys: Sequence[str], item: Column, list_rows: int = 100_000) -> DataFrame:
+    """Sorted item lists by key, repeats kept: rows ``keys, item_count, chunk, items``.
 
-def grouped_lists(df: DataFrame, keys: Sequence[str], item: Column, list_rows: int = 100_000) -> GroupedLists:
-    """Sorted item lists by key, repeats kept, no row with much more than ``list_rows`` items.
+    A key has ``item_count`` items; chunk c holds those at the places c * ``list_rows`` to (c + 1) * ``list_rows`` - 1 of
+    its sorted list (nulls first), so the chunks of a key, one after the other, are its list. Every key has chunk 0. Nothing
+    depends on how many items a key has, and no task or row holds a whole large key:
 
-    Copies of an item are counted map-side first. Keys above the limit get their exact count in ``by_key`` and
-    their items in ``chunks``, where a hash of the item decides the chunk, so that no task and no
-    row ever holds a whole large key.
+    * copies of an item are counted map-side first;
+    * the items are dealt out by range of (key, item), which cuts a large key into slices of several tasks;
+    * the place of an item is its place in the slice plus the items in the slices before it, of which there is one
+      count for each task and key. The slices are written before they are counted, so a repeated task can't move them;
+    * an item whose copies reach over several chunks is cut there.
     """
     keys = list(keys)
     units = df.groupBy(*keys, item.alias("_item")).agg(F.count(F.lit(1)).alias("_copies"))
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_key_rows"))
-    large = sizes.where(F.col("_key_rows") > list_rows)
-    tagged = units.join(large, keys, "left")
-
-    def lists(frame: DataFrame, by: list[str]) -> DataFrame:
-        # The explicit repartition lets adaptive execution split a large key of the join above.
-        repeated = F.flatten(F.collect_list(F.array_repeat("_item", F.col("_copies").cast("int"))))
-        return frame.repartition(*by).groupBy(*by).agg(F.array_sort(repeated).alias("items"))
-
-    small = lists(tagged.where("_key_rows is null"), keys)
-    by_key = small.select(*keys, F.size("items").cast("bigint").alias("item_count"), "items").unionByName(
-        large.select(*keys, F.col("_key_rows").alias("item_count")), allowMissingColumns=True
+    units = fixed(units.repartitionByRange(*keys, "_item").withColumn("_slice", F.spark_partition_id()), "lists")
+
+    zero = F.lit(0).cast("bigint")
+    sizes = units.groupBy(*keys, "_slice").agg(F.sum("_copies").alias("_rows"))
+    of_key = Window.partitionBy(*keys)
+    earlier = of_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.col("_slice").alias("_of_slice"),
+        F.coalesce(F.sum("_rows").over(earlier), zero).alias("_before"),
+        F.sum("_rows").over(of_key).alias("item_count"),
     )
-
-    # An item with many copies is cut into pieces first, so that one chunk cannot hold all of them.
-    pieces = F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("_copies") / F.lit(list_rows)) - 1)
-    cut = (
-        tagged.where("_key_rows is not null")
-        .withColumn("_piece", F.explode(pieces))
-        .withColumn("_copies", F.least(F.lit(list_rows), F.col("_copies") - F.col("_piece") * list_rows))
-        .withColumn("_chunks", F.ceil(F.col("_key_rows") / F.lit(list_rows)))
-        .withColumn("chunk", F.pmod(F.xxhash64("_item", "_piece"), F.col("_chunks")))
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_item").rowsBetween(Window.unboundedPreceding, -1)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)])
+    placed = units.withColumn("_place", F.coalesce(F.sum("_copies").over(inside), zero)).join(
+        before, same & (F.col("_slice") == F.col("_of_slice"))
+    )
+    start = F.col("_before") + F.col("_place")
+    end, rows = start + F.col("_copies"), F.lit(list_rows).cast("bigint")
+    pieces = placed.select(
+        *keys,
+        "item_count",
+        "_item",
+        start.alias("_start"),
+        end.alias("_end"),
+        F.explode(F.sequence(F.floor(start / rows), F.floor((end - 1) / rows))).alias("chunk"),
     )
-    chunks = lists(cut, [*keys, "chunk"])
-    return GroupedLists(by_key, chunks)
+    held = F.least("_end", (F.col("chunk") + 1) * rows) - F.greatest("_start", F.col("chunk") * rows)
+    repeated = F.flatten(F.collect_list(F.array_repeat("_item", held.cast("int"))))
+    return pieces.groupBy(*keys, "item_count", "chunk").agg(F.sort_array(repeated).alias("items"))
+
+
+def first_chunks(lists: DataFrame) -> DataFrame:
+    """One row per key: ``keys, item_count, items``, the items of its chunk 0."""
+    return lists.where(F.col("chunk") == 0).drop("chunk")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
-from veracity_prep.operators.lists import GroupedLists, grouped_lists
+from veracity_prep.operators.lists import chunked_lists, first_chunks
 
 #: Publishers whose images are linked to articles.
 ARTICLE_SOURCES = ("gossipcop", "politifact")
@@ -52,25 +52,25 @@ def linkable_images(images: DataFrame) -> DataFrame:
     return images.where(known & (F.coalesce(F.col("article_id"), F.lit("")) != ""))
 
 
-def article_image_links(images: DataFrame, list_rows: int = 100_000) -> GroupedLists:
-    """Links of each (source, article): path, original path, size and aspect ratio."""
+def article_image_links(images: DataFrame, list_rows: int = 100_000) -> DataFrame:
+    """Links of each (source, article) in chunks: path, original path, size and aspect ratio."""
     link = F.struct(
         F.coalesce("processed_path", F.lit("")).alias("path"),
         F.coalesce("original_path", F.lit("")).alias("original_path"),
         F.col("original_size").alias("size"),
         F.col("aspect_ratio"),
     )
-    return grouped_lists(linkable_images(images), ["source", "article_id"], link, list_rows)
+    return chunked_lists(linkable_images(images), ["source", "article_id"], link, list_rows)
 
 
-def link_images(metadata: DataFrame, images: DataFrame, list_rows: int = 100_000) -> DataFrame:
+def link_images(metadata: DataFrame, links: DataFrame) -> DataFrame:
     """Add ``image_count``, ``has_images`` and ``image_paths`` (JSON) to article metadata.
 
-    The count an article states about itself is kept as ``declared_image_count``. ``image_paths`` is NULL for
-    articles above ``list_rows`` images, whose links are in the parts of :func:`article_image_links`; :func:`~veracity_prep.plans.run.run` writes
-    those of all articles as ``metadata/article_image_links``.
+    ``links`` are those of :func:`article_image_links`. ``image_count`` counts all of an article's links; ``image_paths``
+    holds its chunk 0, and the following chunks, if there are any, stay rows of ``links``. The count an article states
+    about itself is kept as ``declared_image_count``.
     """
-    links = article_image_links(images, list_rows).by_key
+    links = first_chunks(links)
     if "image_count" in metadata.columns:
         metadata = metadata.withColumnRenamed("image_count", "declared_image_count")
     joined = metadata.join(links, ["source", "article_id"], "left")

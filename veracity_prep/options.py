@@ -53,5 +53,5 @@ class Options:
     split: SplitOptions = field(default_factory=SplitOptions)
     #: Reactions kept with a thread.
     reaction_cut: int = 10
-    #: Longest list held in one row; longer ones are written as several chunks.
+    #: Items of a list held in one row; the rows of a key, one after the other, are its list.
     list_rows: int = 100_000

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veracity_prep.functions.labels import annotation_bucket
 from veracity_prep.functions.urls import extension_or_jpg
 from veracity_prep.operators.images import resample_images
-from veracity_prep.operators.lists import GroupedLists, grouped_lists
+from veracity_prep.operators.lists import chunked_lists, first_chunks
 from veracity_prep.options import ImageOptions
 from veracity_prep.sources.images import (
     files_by_stem,
@@ -49,18 +49,18 @@ def images_without_files(images: DataFrame, files: DataFrame) -> DataFrame:
     return images.join(files, ["annotation", "image_id"], "left_anti")
 
 
-def image_tweets(mapping: DataFrame, list_rows: int = 100_000) -> GroupedLists:
-    """Tweets of each image."""
-    return grouped_lists(mapping, ["image_id"], F.col("tweet_id"), list_rows)
+def image_tweets(mapping: DataFrame, list_rows: int = 100_000) -> DataFrame:
+    """Tweets of each image in chunks."""
+    return chunked_lists(mapping, ["image_id"], F.col("tweet_id"), list_rows)
 
 
-def with_tweets(images: DataFrame, mapping: DataFrame, list_rows: int = 100_000) -> DataFrame:
+def with_tweets(images: DataFrame, tweets: DataFrame) -> DataFrame:
     """Add ``tweet_count`` and ``tweet_ids``, both NULL for images no tweet uses.
 
-    ``tweet_ids`` is also NULL above ``list_rows``; those lists are in the chunks of :func:`image_tweets`.
+    ``tweets`` are those of :func:`image_tweets`. ``tweet_count`` counts all tweets of an image, ``tweet_ids`` holds its
+    chunk 0; the following chunks, if there are any, stay rows of ``tweets``.
     """
-    tweets = image_tweets(mapping, list_rows).by_key
-    renamed = tweets.select("image_id", F.col("item_count").alias("tweet_count"), F.col("items").alias("tweet_ids"))
+    renamed = first_chunks(tweets).select("image_id", F.col("item_count").alias("tweet_count"), F.col("items").alias("tweet_ids"))
     return images.join(renamed, "image_id", "left")
 
 
@@ -79,9 +79,8 @@ def _processed(images: DataFrame, target) -> list:
 def build_listed_images(
     images: DataFrame,
     properties: DataFrame,
-    mapping: DataFrame,
+    tweets: DataFrame,
     output: str,
-    list_rows: int = 100_000,
     paths: DataFrame | None = None,
 ) -> DataFrame:
     """Processed images of a list: file, geometry, tags and the tweets that use them.
@@ -93,19 +92,21 @@ def build_listed_images(
     found = images_with_files(listed_class(images), files).join(properties, "path")
     name = F.substring_index("path", "/", -1)
     columns = _processed(found, F.concat_ws("/", F.lit(output), "annotation", name))
-    return with_tweets(
-        found.select("image_id", "annotation", "event", "image_url", *columns), mapping, list_rows
-    )
+    return with_tweets(found.select("image_id", "annotation", "event", "image_url", *columns), tweets)
+
 
+def load_listed_images(spark: SparkSession, path: str, output: str, tweets: DataFrame | None = None) -> DataFrame:
+    """Processed images of a directory with ``images/<class>/`` and the two lists, in ``raw/`` or beside it.
 
-def load_listed_images(spark: SparkSession, path: str, output: str, list_rows: int = 100_000) -> DataFrame:
-    """Processed images of a directory with ``images/<class>/`` and the two lists, in ``raw/`` or beside it."""
+    ``tweets`` are those of :func:`image_tweets`, from the tweet list where they aren't given.
+    """
+    if tweets is None:
+        tweets = image_tweets(read_tweet_images(spark, *list_candidates(path, TWEET_LIST_FILE)))
     return build_listed_images(
         read_image_list(spark, *list_candidates(path, IMAGE_LIST_FILE)),
         read_image_properties(spark, f"{path}/images"),
-        read_tweet_images(spark, *list_candidates(path, TWEET_LIST_FILE)),
+        tweets,
         output,
-        list_rows,
         image_paths(spark, f"{path}/images"),
     )
 
@@ -161,16 +162,17 @@ def listed_image_plan(images: DataFrame, root: str, inventory: DataFrame, limit:
     return plan.join(inventory.select(F.col("path").alias("target")), "target", "left_anti")
 
 
-def article_manifest(inventory: DataFrame, contents: DataFrame, list_rows: int = 100_000) -> GroupedLists:
+def article_manifest(inventory: DataFrame, contents: DataFrame, list_rows: int = 100_000) -> DataFrame:
     """Images of each article from the files on disk; articles without images or content do not appear.
 
-    ``inventory`` holds ``source, label, article_id, name``, ``contents`` the articles with their ``content_file``.
+    ``inventory`` holds ``source, label, article_id, name``, ``contents`` the articles with their ``content_file``. The
+    result has ``source, label, article_id, image_count, chunk, images, content_file``: every article has its chunk 0, and
+    ``image_count`` counts the images of all its chunks.
     """
     keys = ["source", "label", "article_id"]
-    lists = grouped_lists(inventory, keys, F.col("name"), list_rows)
-    columns = [*keys, F.col("item_count").alias("image_count"), F.col("items").alias("images"), "content_file"]
-    by_key = lists.by_key.join(contents.select(*keys, "content_file"), keys).select(*columns)
-    return GroupedLists(by_key, lists.chunks)
+    lists = chunked_lists(inventory, keys, F.col("name"), list_rows)
+    columns = [*keys, F.col("item_count").alias("image_count"), "chunk", F.col("items").alias("images"), "content_file"]
+    return lists.join(contents.select(*keys, "content_file"), keys).select(*columns)
 
 
 def inventory_keys(paths: DataFrame) -> DataFrame:

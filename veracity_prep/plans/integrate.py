@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veracity_prep.operators.lists import GroupedLists, grouped_lists
+from veracity_prep.operators.lists import chunked_lists, first_chunks
 from veracity_prep.operators.metadata import flat_metadata, last_by_key, link_images, union_corpora
 from veracity_prep.operators.stats import dataset_statistics
 from veracity_prep.schemas import METADATA
@@ -27,15 +27,16 @@ class MetadataTables(NamedTuple):
 
 
 def build_metadata(
-    corpora: dict[str, DataFrame], article_images: DataFrame | None = None, list_rows: int = 100_000, spark=None
+    corpora: dict[str, DataFrame], article_links: DataFrame | None = None, spark=None
 ) -> MetadataTables:
     """Flat metadata of the processed corpora, article metadata linked to its images, all of it combined.
 
+    ``article_links`` are those of :func:`~veracity_prep.operators.metadata.article_image_links`.
     Without any corpus (``spark`` given) the tables are empty.
     """
     by_corpus = {name: flat_metadata(items, name) for name, items in corpora.items()}
-    if ARTICLES in by_corpus and article_images is not None:
-        by_corpus[ARTICLES] = link_images(by_corpus[ARTICLES], article_images, list_rows)
+    if ARTICLES in by_corpus and article_links is not None:
+        by_corpus[ARTICLES] = link_images(by_corpus[ARTICLES], article_links)
     combined = union_corpora(by_corpus.values())
     if combined is None:
         combined = spark.createDataFrame([], METADATA)
@@ -43,12 +44,12 @@ def build_metadata(
 
 
 class IntegratedTables(NamedTuple):
-    """Related tables of the integrated dataset; article image lists as grouped lists."""
+    """Related tables of the integrated dataset; article image lists in chunks."""
 
     metadata: DataFrame
     texts: DataFrame
     images: DataFrame
-    article_images: GroupedLists
+    article_images: DataFrame
 
 
 def corpus_texts(corpora: dict[str, DataFrame]) -> DataFrame:
@@ -80,14 +81,14 @@ def single_images(images: DataFrame) -> DataFrame:
     return last_by_key(records, ["image_id"], "path", fields)
 
 
-def article_image_records(images: DataFrame, list_rows: int = 100_000) -> GroupedLists:
-    """Image records of each article, by (source, article)."""
+def article_image_records(images: DataFrame, list_rows: int = 100_000) -> DataFrame:
+    """Image records of each article in chunks, by (source, article)."""
     present = images.where(F.coalesce(F.col("article_id"), F.lit("")) != "")
     record = F.struct(
         F.coalesce("processed_path", F.lit("")).alias("path"),
         *["original_filename", "source", "label", "original_size", "aspect_ratio", "format"],
     )
-    return grouped_lists(present, ["source", "article_id"], record, list_rows)
+    return chunked_lists(present, ["source", "article_id"], record, list_rows)
 
 
 def integrate(
@@ -104,10 +105,11 @@ def integrate(
 
 
 def simplify(tables: IntegratedTables) -> DataFrame:
-    """One row per metadata row: ``dataset, id, source, label, text, images, metadata``.
+    """One row per metadata row: ``dataset, id, source, label, text, image_count, images, metadata``.
 
-    Texts are matched by (dataset, id), article images by (source, article), single images by id. ``images`` is
-    empty where there are none, and NULL for an article whose list is long enough to be kept in chunks.
+    Texts are matched by (dataset, id), article images by (source, article), single images by id. ``image_count``
+    counts all images of an item; ``images`` is empty where there are none and holds chunk 0 of the list of an
+    article, whose following chunks, if there are any, stay rows of ``tables.article_images``.
     """
     metadata = tables.metadata
     names = metadata.columns
@@ -137,7 +139,7 @@ def simplify(tables: IntegratedTables) -> DataFrame:
             *[i[c].alias(c) for c in ("original_size", "aspect_ratio", "format")],
         ),
     )
-    lists = tables.article_images.by_key.select("source", "article_id", "item_count", listed.alias("images"))
+    lists = first_chunks(tables.article_images).select("source", "article_id", "item_count", listed.alias("images"))
 
     # Each kind of corpus meets only its own images: in one join over all rows, the items without an article
     # would share a single key.
@@ -146,9 +148,10 @@ def simplify(tables: IntegratedTables) -> DataFrame:
     of_articles = items.where(F.col("dataset") == ARTICLES).join(lists, ["source", "article_id"], "left")
     of_images = items.where(F.col("dataset") == IMAGES).join(singles, "id", "left")
     others = items.where(~F.coalesce(F.col("dataset").isin(ARTICLES, IMAGES), F.lit(False)))
+    zero = F.lit(0).cast("bigint")
     parts = [
-        of_articles.withColumn("images", found),
-        of_images.withColumn("images", F.coalesce("images", none)),
-        others.withColumn("images", none),
+        of_articles.withColumn("images", found).withColumn("image_count", F.coalesce("item_count", zero)),
+        of_images.withColumn("images", F.coalesce("images", none)).withColumn("image_count", F.size("images").cast("bigint")),
+        others.withColumn("images", none).withColumn("image_count", zero),
     ]
-    return union_corpora([p.select(*kept, "text", "images", "metadata") for p in parts])
+    return union_corpora([p.select(*kept, "text", "image_count", "images", "metadata") for p in parts])

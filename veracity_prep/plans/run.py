@@ -80,12 +80,13 @@ def _write_images(spark: SparkSession, paths: Paths, options: Options) -> None:
     if paths.listed_images:
         table = paths.table("images", IMAGES)
         processed = paths.table("images", "pixels")
-        write_table(load_listed_images(spark, paths.listed_images, processed, options.list_rows), table)
+        mapping = read_tweet_images(spark, *list_candidates(paths.listed_images, TWEET_LIST_FILE))
+        write_table(image_tweets(mapping, options.list_rows), paths.table("images", "tweets"))
+        tweets = read_existing(spark, paths.table("images", "tweets"))
+        write_table(load_listed_images(spark, paths.listed_images, processed, tweets), table)
         done = read_existing(spark, table)
         summary = image_summary(done, "image_id", "annotation", "event")
         write_table(summary, paths.table("images", "summary", IMAGES), fmt="csv")
-        mapping = read_tweet_images(spark, *list_candidates(paths.listed_images, TWEET_LIST_FILE))
-        write_table(image_tweets(mapping, options.list_rows).chunks, paths.table("images", "tweet_chunks"))
         pixels = pixels_of(done, read_images(spark, f"{paths.listed_images}/images"), options.image)
         write_table(pixels, paths.table("images", "pixels", IMAGES))
     if paths.article_images and paths.article_manifest:
@@ -113,11 +114,11 @@ def _write_metadata(spark: SparkSession, paths: Paths, options: Options) -> None
     corpora = _text_tables(spark, paths)
     images = read_table(spark, paths.table("images", IMAGES), schemas.LISTED_IMAGE)
     article_images = read_table(spark, paths.table("images", ARTICLES), schemas.ARTICLE_IMAGE)
-    tables = build_metadata(corpora, article_images, options.list_rows, spark)
+    write_table(article_image_links(article_images, options.list_rows), paths.table("metadata", "article_image_links"))
+    links = read_existing(spark, paths.table("metadata", "article_image_links"))
+    tables = build_metadata(corpora, links, spark)
     for name, metadata in tables.by_corpus.items():
         write_table(metadata, paths.table("metadata", "corpora", name), fmt="csv")
-    links = article_image_links(article_images, options.list_rows)
-    write_table(links.parts(), paths.table("metadata", "article_image_links"))
     write_table(tables.combined, paths.table("metadata", "combined"), "dataset")
     combined = read_existing(spark, paths.table("metadata", "combined"))
     write_table(dataset_statistics(combined), paths.table("metadata", "statistics"))
@@ -125,8 +126,8 @@ def _write_metadata(spark: SparkSession, paths: Paths, options: Options) -> None
     integrated = integrate(combined, corpora, images, article_images, options.list_rows)
     write_table(integrated.texts, paths.table("integrated", "texts"), "dataset")
     write_table(integrated.images, paths.table("integrated", "images"))
-    write_table(integrated.article_images.by_key, paths.table("integrated", "article_images"))
-    write_table(integrated.article_images.chunks, paths.table("integrated", "article_image_chunks"))
+    write_table(integrated.article_images, paths.table("integrated", "article_images"))
+    integrated = integrated._replace(article_images=read_existing(spark, paths.table("integrated", "article_images")))
     write_table(simplify(integrated), paths.table("integrated", "simplified"), "dataset")
 
 

@@ -46,16 +46,11 @@ def read_tweet_images(spark: SparkSession, *paths: str) -> DataFrame:
     return tab_fields(_first_lines(spark, paths), TWEET_IMAGES)
 
 
-def manifest_images(manifest: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
+def manifest_images(manifest: DataFrame) -> DataFrame:
     """One row per image of an article manifest: ``source, label, article_id, image_file, content_file``.
 
-    ``chunks`` holds the images of articles whose list is NULL in ``manifest``, as ``article_manifest`` gives them.
+    An article may have one entry with all its images or several with some of them.
     """
-    if chunks is not None:
-        keys = ["source", "label", "article_id"]
-        listed = manifest.where(F.col("images").isNotNull()).select(*keys, "images", "content_file")
-        long_ = chunks.join(manifest.where(F.col("images").isNull()).select(*keys, "content_file"), keys)
-        manifest = listed.unionByName(long_.select(*keys, F.col("items").alias("images"), "content_file"))
     return manifest.select(
         "source",
         "label",
