@@ -19,6 +19,7 @@ from veracity_prep.schemas import ARTICLE, THREAD
 from veracity_prep.sources.images import read_image_list, read_manifest
 from veracity_prep.sources.processed import read_existing, read_table, write_table
 from veracity_prep.sources.statements import read_statements
+from veracity_prep.sources.trees import compact_tree, compacted_files
 
 
 def _statement_files(t: Inputs) -> str:
@@ -104,3 +105,26 @@ def scan_written_split(t):
     folder = t.shared_folder()
     write_table(stratified_split(items(t)), folder, "split")
     return read_existing(t.spark, folder).select("id", "label", F.col("split").cast("string"), "copies")
+
+
+# Roles of a tree of document files by the language in their directory; other languages have none.
+TREE_ROLES = {"english": r"/lang=en/", "other": r"/lang=(?!en/)[a-z]+/"}
+
+
+@query(
+    """SELECT CASE WHEN lang = 'en' THEN 'english' ELSE 'other' END AS role, doc_id, source, md5(text) AS digest, doc_id % 2 AS wave
+    FROM {documents} WHERE lang IS NOT NULL"""
+)
+def compacted_tree(t):
+    """A tree of files that grows between two compactions: the second one reads only what came after the first."""
+    tree, table = t.shared_folder(), t.shared_folder()
+    docs = t("documents").where("lang is not null").withColumn("wave", F.col("doc_id") % 2)
+    waves = []
+    for wave in (0, 1):
+        docs.where(F.col("wave") == wave).write.mode("append").partitionBy("lang", "source").json(tree)
+        waves.append(compact_tree(t.spark, tree, table, TREE_ROLES, "*.json"))
+    assert all(w.read > 0 and w.gone == 0 for w in waves) and compact_tree(t.spark, tree, table, TREE_ROLES, "*.json").read == 0
+    source = F.regexp_extract("path", "/source=([^/]+)/", 1).alias("source")
+    lines = compacted_files(t.spark, table).select("role", source, F.explode(F.split("value", "\n")).alias("line")).where("line <> ''")
+    parsed = lines.withColumn("doc", F.from_json("line", "doc_id bigint, text string, wave bigint"))
+    return parsed.select("role", "doc.doc_id", "source", F.md5("doc.text").alias("digest"), "doc.wave")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +13,7 @@ from veracity_prep.operators.metadata import article_image_links
 from veracity_prep.operators.splits import make_splits
 from veracity_prep.operators.stats import dataset_statistics
 from veracity_prep.options import Options
-from veracity_prep.plans.articles import load_articles
+from veracity_prep.plans.articles import build_articles, load_articles
 from veracity_prep.plans.image_corpora import (
     TWEET_LIST_FILE,
     image_tweets,
@@ -23,20 +24,28 @@ from veracity_prep.plans.image_corpora import (
 )
 from veracity_prep.plans.integrate import ARTICLES, IMAGES, build_metadata, integrate, simplify
 from veracity_prep.plans.statements import load_statements
-from veracity_prep.plans.threads import load_threads
+from veracity_prep.plans.threads import build_threads, load_threads
+from veracity_prep.sources.articles import compact_articles
 from veracity_prep.sources.images import read_images, read_tweet_images
 from veracity_prep.sources.processed import image_summary, read_existing, read_table, write_table
+from veracity_prep.sources.threads import compact_threads
 
 STAGES = ("text", "images", "metadata", "splits")
 
 
 @dataclass(frozen=True)
 class Corpus:
-    """A text corpus: how to load it from a path, how its table is partitioned, and its schema."""
+    """A text corpus: how to load it from a path, how its table is partitioned, and its schema.
+
+    A corpus of many small files also has ``compact``, which brings a table of them up to date and returns its files by
+    role, and ``build``, which makes the corpus from those. :func:`run` then reads new files only.
+    """
 
     load: Callable[..., DataFrame]
     parts: tuple[str, ...] = ()
     schema: str = ""
+    compact: Callable[[SparkSession, str, str], Any] | None = None
+    build: Callable[..., DataFrame] | None = None
 
 
 CORPORA: dict[str, Corpus] = {}
@@ -52,8 +61,8 @@ def register_corpus(name: str, corpus: Corpus) -> None:
 
 
 register_corpus("statements", Corpus(load_statements, ("split",), schemas.STATEMENT))
-register_corpus("threads", Corpus(load_threads, ("event",), schemas.THREAD))
-register_corpus(ARTICLES, Corpus(load_articles, ("source", "original_label"), schemas.ARTICLE))
+register_corpus("threads", Corpus(load_threads, ("event",), schemas.THREAD, compact_threads, build_threads))
+register_corpus(ARTICLES, Corpus(load_articles, ("source", "original_label"), schemas.ARTICLE, compact_articles, build_articles))
 
 
 @dataclass(frozen=True)
@@ -73,7 +82,11 @@ class Paths:
 def _write_text(spark: SparkSession, paths: Paths, options: Options, lexicon: DataFrame | None) -> None:
     for name, path in paths.corpora.items():
         corpus = CORPORA[name]
-        write_table(corpus.load(spark, path, options, lexicon), paths.table("text", name), *corpus.parts)
+        if corpus.compact and corpus.build:
+            items = corpus.build(corpus.compact(spark, path, paths.table("files", name)), options, lexicon)
+        else:
+            items = corpus.load(spark, path, options, lexicon)
+        write_table(items, paths.table("text", name), *corpus.parts)
 
 
 def _write_images(spark: SparkSession, paths: Paths, options: Options) -> None:

@@ -46,10 +46,6 @@ ARTICLE = """
     position string
 """
 
-# Files of the two tree-shaped corpora.
-THREAD_FILE = "event string, kind string, thread_id string, file string, value string"
-ARTICLE_FILE = "source string, label string, article_id string, file string, value string"
-
 # Image lists with tab-separated lines.
 IMAGE_LIST = ("image_id", "image_url", "annotation", "event")
 TWEET_IMAGES = ("tweet_id", "image_id", "annotation", "event")

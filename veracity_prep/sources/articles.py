@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracity_prep.operators.metadata import ARTICLE_SOURCES
-from veracity_prep.schemas import ARTICLE_FILE
-from veracity_prep.sources.files import file_paths, json_files, or_empty
+from veracity_prep.sources.trees import compact_tree, compacted_files, role_of, tree_files
 
 # Directory and file names of the tree.
 _ARTICLE = rf"/({'|'.join(ARTICLE_SOURCES)})/(fake|real)/([^/]+)/"
 _CONTENT = _ARTICLE + r"(news(?: |%20)content\.json)$"
 _TWEET = _ARTICLE + r"tweets/([^/]+\.json)$"
+ROLES = {"content": _CONTENT, "tweet": _TWEET}
 
 
 class ArticleFiles(NamedTuple):
@@ -31,21 +31,22 @@ def _keys(path: Column, pattern: str) -> list[Column]:
 
 def parse_article_files(files: DataFrame) -> ArticleFiles:
     """Split ``path, value`` rows by the role of the file."""
-    path = F.col("path")
-    contents = files.where(path.rlike(_CONTENT)).select(*_keys(path, _CONTENT), "value")
-    tweets = files.where(path.rlike(_TWEET)).select(*_keys(path, _TWEET))
-    return ArticleFiles(contents, tweets)
+    return article_files(files.withColumn("role", role_of(F.col("path"), ROLES)))
 
 
-def read_article_files(spark: SparkSession, root: str) -> ArticleFiles:
-    """Scan an article corpus; tweet files are only listed."""
+def article_files(files: DataFrame) -> ArticleFiles:
+    """Split ``path, role, value`` rows by role."""
+    path, role = F.col("path"), F.col("role")
+    contents = files.where(role == "content").select(*_keys(path, _CONTENT), "value")
+    return ArticleFiles(contents, files.where(role == "tweet").select(*_keys(path, _TWEET)))
+
 
-    def contents() -> DataFrame:
-        return json_files(spark, root, _CONTENT).select(*_keys(F.col("path"), _CONTENT), "value")
+def read_article_files(spark: SparkSession, root: str) -> ArticleFiles:
+    """Scan an article corpus: listed once, and tweet files stay closed."""
+    return article_files(tree_files(spark, root, ROLES, "*.json"))
 
-    def tweets() -> DataFrame:
-        return file_paths(spark, root, "*.json", _TWEET).select(*_keys(F.col("path"), _TWEET))
 
-    return ArticleFiles(
-        or_empty(spark, contents, ARTICLE_FILE), or_empty(spark, tweets, ARTICLE_FILE.rsplit(",", 1)[0])
-    )
+def compact_articles(spark: SparkSession, root: str, table: str) -> ArticleFiles:
+    """The same files from a compacted table, after what is new in the tree was added to it."""
+    compact_tree(spark, root, table, ROLES, "*.json", names_only=["tweet"])
+    return article_files(compacted_files(spark, table))

@@ -22,19 +22,3 @@ def or_empty(spark: SparkSession, scan: Callable[[], DataFrame], schema: str) ->
 def plain_path(path: Column) -> Column:
     """A file path without percent-escapes."""
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-
-
-def json_files(spark: SparkSession, root: str, path_pattern: str) -> DataFrame:
-    """``path, value``: one row per JSON file below ``root`` whose escaped path matches.
-
-    The pattern is a filter on file metadata, so other files are pruned before anything is read.
-    """
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json")
-    path = F.col("_metadata.file_path")
-    return files.where(path.rlike(path_pattern)).select(plain_path(path).alias("path"), "value")
-
-
-def file_paths(spark: SparkSession, root: str, glob: str, path_pattern: str) -> DataFrame:
-    """``path`` of the files below ``root`` that match; contents are not read."""
-    files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=glob).load(root)
-    return files.select("path").where(F.col("path").rlike(path_pattern))

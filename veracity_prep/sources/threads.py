@@ -7,8 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracity_prep.schemas import THREAD_FILE
-from veracity_prep.sources.files import file_paths, json_files, or_empty
+from veracity_prep.sources.trees import compact_tree, compacted_files, role_of, tree_files
 
 # Directory names of the tree.
 TREE_ROOT = "all-rnr-annotated-threads"
@@ -16,6 +15,7 @@ _THREAD = r"/([^/]+)/(rumours|non-rumours)/([^/]+)/"
 _SOURCE = _THREAD + r"source-tweets/([^/]+\.json)$"
 _REACTION = _THREAD + r"reactions/(.+\.json)$"
 _ANNOTATION = _THREAD + r"(annotation\.json)$"
+ROLES = {"source": _SOURCE, "reaction": _REACTION, "annotation": _ANNOTATION}
 
 
 class ThreadFiles(NamedTuple):
@@ -38,30 +38,25 @@ def thread_keys(path: Column, pattern: str) -> list[Column]:
 
 def parse_thread_files(files: DataFrame) -> ThreadFiles:
     """Split ``path, value`` rows by the role of the file."""
+    return thread_files(files.withColumn("role", role_of(F.col("path"), ROLES)))
 
-    def part(pattern: str) -> DataFrame:
-        path = F.col("path")
-        return files.where(path.rlike(pattern)).select(*thread_keys(path, pattern), "value")
 
-    reactions = part(_REACTION)
-    return ThreadFiles(part(_SOURCE), reactions, part(_ANNOTATION), reactions.drop("value"))
+def thread_files(files: DataFrame) -> ThreadFiles:
+    """Split ``path, role, value`` rows by role."""
 
+    def part(role: str) -> DataFrame:
+        return files.where(F.col("role") == role).select(*thread_keys(F.col("path"), ROLES[role]), "value")
 
-def read_thread_files(spark: SparkSession, root: str) -> ThreadFiles:
-    """Scan a thread corpus. Each role reads its own files only."""
-    tree = f"{root}/{TREE_ROOT}"
+    reactions = part("reaction")
+    return ThreadFiles(part("source"), reactions, part("annotation"), reactions.drop("value"))
 
-    def part(pattern: str) -> DataFrame:
-        def scan() -> DataFrame:
-            files = json_files(spark, tree, pattern)
-            return files.select(*thread_keys(F.col("path"), pattern), "value")
 
-        return or_empty(spark, scan, THREAD_FILE)
+def read_thread_files(spark: SparkSession, root: str) -> ThreadFiles:
+    """Scan a thread corpus: listed once, and each role opens its own files only."""
+    return thread_files(tree_files(spark, f"{root}/{TREE_ROOT}", ROLES, "*.json"))
 
-    def names() -> DataFrame:
-        paths = file_paths(spark, tree, "*.json", _REACTION)
-        return paths.select(*thread_keys(F.col("path"), _REACTION))
 
-    return ThreadFiles(
-        part(_SOURCE), part(_REACTION), part(_ANNOTATION), or_empty(spark, names, THREAD_FILE.rsplit(",", 1)[0])
-    )
+def compact_threads(spark: SparkSession, root: str, table: str) -> ThreadFiles:
+    """The same files from a compacted table, after what is new in the tree was added to it."""
+    compact_tree(spark, f"{root}/{TREE_ROOT}", table, ROLES, "*.json")
+    return thread_files(compacted_files(spark, table))
