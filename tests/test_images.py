@@ -1,6 +1,7 @@
 """Image scans and jobs."""
 
 import math
+import os
 import random
 
 import numpy as np
@@ -10,12 +11,12 @@ from trees import article_images, images, jpeg_with_tags, png, write
 from veracity_prep.operators.images import exif_tags, image_tags, resample_images, resample_pixels
 from veracity_prep.options import ImageOptions
 from veracity_prep.plans.image_corpora import inventory_keys, listed_image_plan, load_article_images, load_listed_images, pixels_of
-from veracity_prep.sources.images import image_paths, read_image_list, read_images
+from veracity_prep.sources.images import image_paths, path_batches, read_image_list, read_images
 from veracity_prep.sources.processed import image_summary
 
 
 def test_listed_images(spark, tmp_path):
-    done = load_listed_images(spark, str(images(tmp_path)), "/out")
+    done = load_listed_images(spark, str(images(tmp_path)), "/out").records
     rows = {r["image_id"]: r for r in done.collect()}
     # i2 is broken, i4 has no file, i9 has an upper-case extension, i5 is of another class.
     assert set(rows) == {"i1", "i3"}
@@ -32,13 +33,13 @@ def test_list_in_raw_directory_wins(spark, tmp_path):
     root = images(tmp_path)
     (root / "raw").mkdir()
     (root / "raw" / "set_images.txt").write_text("i1\thttp://x/raw\tfake\te1\n")
-    rows = load_listed_images(spark, str(root), "/out").collect()
+    rows = load_listed_images(spark, str(root), "/out").records.collect()
     assert [r["image_url"] for r in rows] == ["http://x/raw"]
 
 
 def test_article_images(spark, tmp_path):
     root = article_images(tmp_path)
-    rows = load_article_images(spark, str(root), str(root / "metadata" / "list.json"), "/out").collect()
+    rows = load_article_images(spark, str(root), str(root / "metadata" / "list.json"), "/out").records.collect()
     assert [(r["article_id"], r["original_filename"], r["original_size"], r["content_file"]) for r in rows] == [("g-1", "a.png", [4, 2], "c")]
     assert rows[0]["processed_path"] == "/out/gossipcop/fake/g-1_a.png"
     keys = inventory_keys(image_paths(spark, str(root / "images")))
@@ -95,21 +96,58 @@ def test_pixels_of_files(spark, tmp_path):
 
 
 def test_odd_names_and_broken_winners(spark, tmp_path):
-    good, names = png(2, 1, bytes([255, 0, 0] * 2)), ["a b", "50%", "x+y", "n#1", "50%25"]
+    good, names = png(2, 1, bytes([255, 0, 0] * 2)), ["a b", "50%", "x+y", "n#1", "50%25", "q?", "[ab]", "{c,d}", "star*"]
     for name in names:
         write(tmp_path / "images" / "fake" / f"{name}.png", good)
     write(tmp_path / "images" / "fake" / "d.jpeg", good)
     write(tmp_path / "images" / "fake" / "d.png", b"broken")  # the later extension wins, then fails
     write(tmp_path / "images" / "fake" / "unlisted.png", good)
     write(tmp_path / "set_images.txt", "".join(f"{n}\thttp://x.org/a.png\tfake\tev\n" for n in [*names, "d"]))
-    records = load_listed_images(spark, str(tmp_path), "/out")
+    records, decoded = load_listed_images(spark, str(tmp_path), "/out", options=ImageOptions(resize=(1, 1)))
     rows = {r["image_id"]: r for r in records.collect()}
     assert set(rows) == set(names)
     assert {r["original_path"] for r in rows.values()} == {f"{tmp_path}/images/fake/{n}.png" for n in names}
-    pixels = pixels_of(records, read_images(spark, str(tmp_path / "images")), ImageOptions(resize=(1, 1)))
+    pixels = pixels_of(records, decoded, ImageOptions(resize=(1, 1)))
+    assert {tuple(r)[1:] for r in pixels.collect()} == {(1, 1, bytes([255, 0, 0]))}
     assert {r["processed_path"] for r in pixels.collect()} == {r["processed_path"] for r in rows.values()}
 
 
+def unread(path):
+    """Whether a file was left closed since its access time was set back."""
+    return os.stat(path).st_atime < 1_000_000
+
+
+def test_only_wanted_files_are_opened(spark, tmp_path):
+    root, table = images(tmp_path / "raw"), str(tmp_path / "table")
+    write(root / "images" / "fake" / "unlisted.png", png(2, 1, bytes(6)))
+    write(root / "images" / "fake" / "i5.png", png(2, 1, bytes(6)))  # listed under another class
+    files = [p for p in (root / "images").rglob("*.*") if p.suffix != ".crc"]
+
+    def load():
+        for f in files:
+            os.utime(f, (500_000, os.stat(f).st_mtime))
+        records, decoded = load_listed_images(spark, str(root), "/out", table=table, options=ImageOptions(resize=(2, 2)))
+        found = {(r["original_path"].split("/images/")[1], r["format"]) for r in records.collect()}
+        assert pixels_of(records, decoded, ImageOptions(resize=(2, 2))).where("octet_length(pixels) = 12").count() == len(found)
+        return found, {str(f).split("/images/")[1] for f in files if not unread(f)}
+
+    # i1.png wins over i1.jpg; i2 is broken, but only opening tells.
+    first = {("fake/i1.png", "png"), ("real/i3.png", "png")}
+    found, opened = load()
+    assert found == first and opened == {"fake/i1.png", "fake/i2.png", "real/i3.png"}
+    assert load() == (first, set())
+    write(root / "images" / "fake" / "i2.png", png(2, 1, bytes(6)))
+    found, opened = load()
+    assert found == first | {("fake/i2.png", "png")} and opened == {"fake/i2.png"}
+
+
+def test_batches_of_paths(spark):
+    paths = spark.range(1000).select(F.concat(F.lit("/p/"), "id").alias("path"))
+    batches = list(path_batches(paths, 100))
+    assert len(batches) == 10 and sorted(p for b in batches for p in b) == sorted(f"/p/{i}" for i in range(1000))
+    assert list(path_batches(paths.limit(0))) == []
+
+
 def test_tags():
     for order in ("big", "little"):
         assert exif_tags(jpeg_with_tags(order)) == {"Make": "Cam", "Software": "Editor 1.0", "DateTime": "2020:01:02 03:04:05", "GPSInfo": "999"}

@@ -107,6 +107,29 @@ def resample_images(images: DataFrame, options: ImageOptions | None = None) -> D
     return decoded.mapInArrow(run, PIXELS)
 
 
+def decoded_images(images: DataFrame, options: ImageOptions | None = None) -> DataFrame:
+    """Size and resampled pixels of images from one decoding: ``path, width, height, pixels``.
+
+    A file that can't be decoded keeps its row, with width -1 and without pixels.
+    """
+    target = (options or ImageOptions()).resize
+
+    def run(batches):
+        import pyarrow as pa
+
+        schema = pa.schema([("path", pa.string()), ("width", pa.int32()), ("height", pa.int32()), ("pixels", pa.binary())])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                path, height, width, channels, data = (column[i] for column in batch.columns)
+                size, pixels = (width.as_py(), height.as_py()), None
+                if min(size) > 0:
+                    pixels = resample_pixels(data.as_buffer(), size[1], size[0], channels.as_py(), target)
+                yield pa.RecordBatch.from_arrays([[path.as_py()], [size[0]], [size[1]], [pixels]], schema=schema)
+
+    fields = [F.col(f"image.{c}").alias(c) for c in ("origin", "height", "width", "nChannels", "data")]
+    return images.select(*fields).mapInArrow(run, "path string, width int, height int, pixels binary")
+
+
 def _entries(tiff: bytes, order: str, at: int) -> dict[int, tuple[int, int, bytes]]:
     """Tag number -> (type, count, value field) of one directory."""
     count = int.from_bytes(tiff[at : at + 2], order)

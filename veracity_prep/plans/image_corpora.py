@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veracity_prep.functions.labels import annotation_bucket
 from veracity_prep.functions.urls import extension_or_jpg
-from veracity_prep.operators.images import resample_images
 from veracity_prep.operators.lists import chunked_lists, first_chunks
+from veracity_prep.operators.shared import shared_path
 from veracity_prep.options import ImageOptions
 from veracity_prep.sources.images import (
     files_by_stem,
+    decode_images,
     image_paths,
     read_image_list,
-    read_image_properties,
     read_manifest,
     read_tweet_images,
 )
@@ -95,22 +96,6 @@ def build_listed_images(
     return with_tweets(found.select("image_id", "annotation", "event", "image_url", *columns), tweets)
 
 
-def load_listed_images(spark: SparkSession, path: str, output: str, tweets: DataFrame | None = None) -> DataFrame:
-    """Processed images of a directory with ``images/<class>/`` and the two lists, in ``raw/`` or beside it.
-
-    ``tweets`` are those of :func:`image_tweets`, from the tweet list where they aren't given.
-    """
-    if tweets is None:
-        tweets = image_tweets(read_tweet_images(spark, *list_candidates(path, TWEET_LIST_FILE)))
-    return build_listed_images(
-        read_image_list(spark, *list_candidates(path, IMAGE_LIST_FILE)),
-        read_image_properties(spark, f"{path}/images"),
-        tweets,
-        output,
-        image_paths(spark, f"{path}/images"),
-    )
-
-
 def manifest_paths(manifest: DataFrame, root: str) -> DataFrame:
     """Manifest entries with the path their file should have."""
     return manifest.withColumn(
@@ -133,18 +118,54 @@ def build_article_images(manifest: DataFrame, properties: DataFrame, root: str,
     )
 
 
-def load_article_images(spark: SparkSession, path: str, manifest: str, output: str) -> DataFrame:
-    """Processed images of a directory ``images/<publisher>/<label>/<article>/`` and its manifest."""
+class LoadedImages(NamedTuple):
+    """Processed images of a corpus, and the decoded files they are made of."""
+
+    records: DataFrame
+    decoded: DataFrame
+
+
+def load_listed_images(
+    spark: SparkSession,
+    path: str,
+    output: str,
+    tweets: DataFrame | None = None,
+    table: str | None = None,
+    options: ImageOptions | None = None,
+) -> LoadedImages:
+    """Processed images of a directory with ``images/<class>/`` and the two lists, in ``raw/`` or beside it.
+
+    The listing meets the list first, and only files that are then wanted are opened. ``tweets`` are those of
+    :func:`image_tweets`, from the tweet list where they aren't given. ``table`` keeps the decoded files for later
+    runs; without one they last as long as the application.
+    """
+    if tweets is None:
+        tweets = image_tweets(read_tweet_images(spark, *list_candidates(path, TWEET_LIST_FILE)))
+    listed = read_image_list(spark, *list_candidates(path, IMAGE_LIST_FILE))
+    listing = image_paths(spark, f"{path}/images")
+    wanted = images_with_files(listed_class(listed), files_by_stem(listing)).select("path").join(listing, "path")
+    decoded = decode_images(spark, wanted, table or shared_path(spark, "decoded"), options)
+    return LoadedImages(build_listed_images(listed, decoded.drop("pixels"), tweets, output, listing), decoded)
+
+
+def load_article_images(
+    spark: SparkSession, path: str, manifest: str, output: str, table: str | None = None, options: ImageOptions | None = None
+) -> LoadedImages:
+    """Processed images of a directory ``images/<publisher>/<label>/<article>/`` and its manifest; files that no entry names stay closed."""
     root = f"{path}/images"
-    properties = read_image_properties(spark, root)
-    entries = read_manifest(spark, manifest)
-    return build_article_images(entries, properties, re.sub("^file:/+", "/", root), output)
+    listing = image_paths(spark, root)
+    entries, plain = read_manifest(spark, manifest), re.sub("^file:/+", "/", root)
+    wanted = existing_entries(manifest_paths(entries, plain), listing).select("path").join(listing, "path")
+    decoded = decode_images(spark, wanted, table or shared_path(spark, "decoded"), options)
+    return LoadedImages(build_article_images(entries, decoded.drop("pixels"), plain, output), decoded)
 
 
-def pixels_of(records: DataFrame, images: DataFrame, options: ImageOptions | None = None) -> DataFrame:
-    """Resampled pixels of processed images under the ``processed_path`` of their record; other files are left out."""
+def pixels_of(records: DataFrame, decoded: DataFrame, options: ImageOptions | None = None) -> DataFrame:
+    """Resampled pixels of processed images under the ``processed_path`` of their record."""
+    width, height = (options or ImageOptions()).resize
     wanted = records.select(F.col("original_path").alias("path"), "processed_path").distinct()
-    return resample_images(images, options).join(wanted, "path").select("processed_path", "height", "width", "pixels")
+    size = F.lit(height).alias("height"), F.lit(width).alias("width")
+    return decoded.select("path", "pixels").join(wanted, "path").select("processed_path", *size, "pixels")
 
 
 def listed_image_plan(images: DataFrame, root: str, inventory: DataFrame, limit: int = 0) -> DataFrame:

@@ -26,7 +26,7 @@ from veracity_prep.plans.integrate import ARTICLES, IMAGES, build_metadata, inte
 from veracity_prep.plans.statements import load_statements
 from veracity_prep.plans.threads import build_threads, load_threads
 from veracity_prep.sources.articles import compact_articles
-from veracity_prep.sources.images import read_images, read_tweet_images
+from veracity_prep.sources.images import read_tweet_images
 from veracity_prep.sources.processed import image_summary, read_existing, read_table, write_table
 from veracity_prep.sources.threads import compact_threads
 
@@ -96,22 +96,24 @@ def _write_images(spark: SparkSession, paths: Paths, options: Options) -> None:
         mapping = read_tweet_images(spark, *list_candidates(paths.listed_images, TWEET_LIST_FILE))
         write_table(image_tweets(mapping, options.list_rows), paths.table("images", "tweets"))
         tweets = read_existing(spark, paths.table("images", "tweets"))
-        write_table(load_listed_images(spark, paths.listed_images, processed, tweets), table)
+        kept = paths.table("files", IMAGES)
+        loaded = load_listed_images(spark, paths.listed_images, processed, tweets, kept, options.image)
+        write_table(loaded.records, table)
         done = read_existing(spark, table)
         summary = image_summary(done, "image_id", "annotation", "event")
         write_table(summary, paths.table("images", "summary", IMAGES), fmt="csv")
-        pixels = pixels_of(done, read_images(spark, f"{paths.listed_images}/images"), options.image)
-        write_table(pixels, paths.table("images", "pixels", IMAGES))
+        write_table(pixels_of(done, loaded.decoded, options.image), paths.table("images", "pixels", IMAGES))
     if paths.article_images and paths.article_manifest:
         table = paths.table("images", ARTICLES)
         processed = paths.table("images", "pixels")
-        write_table(load_article_images(spark, paths.article_images, paths.article_manifest, processed), table)
+        kept = paths.table("files", "article_images")
+        loaded = load_article_images(spark, paths.article_images, paths.article_manifest, processed, kept, options.image)
+        write_table(loaded.records, table)
         ids = ("source", "label", "article_id", "original_filename")
         done = read_existing(spark, table)
         summary = image_summary(done, *ids)
         write_table(summary, paths.table("images", "summary", ARTICLES), fmt="csv")
-        pixels = pixels_of(done, read_images(spark, f"{paths.article_images}/images"), options.image)
-        write_table(pixels, paths.table("images", "pixels", ARTICLES))
+        write_table(pixels_of(done, loaded.decoded, options.image), paths.table("images", "pixels", ARTICLES))
 
 
 def _text_tables(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:

@@ -56,6 +56,7 @@ IMAGE_MANIFEST = """
 
 EXIF_TYPE = "map<string, string>"
 PIXELS = "path string, height int, width int, pixels binary"
+DECODED = f"path string, modified timestamp, width int, height int, exif {EXIF_TYPE}, pixels binary"
 
 _IMAGE = f"""
     original_path string, processed_path string, original_size array<int>, aspect_ratio double, format string,
