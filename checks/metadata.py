@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import sqltext as S
 from checks.articles import ITEMS as ARTICLE_ITEMS
 from checks.articles import articles
 from checks.statements import LABEL, SCORE, statements
 from checks.tables import ARTICLE_IMAGES, STATEMENTS, Inputs, query
 from checks.threads import THREADS, threads
 from veracity_prep.functions.scores import aspect_ratio
+from veracity_prep.functions.text import ENGLISH_STOPWORDS
 from veracity_prep.operators.metadata import article_image_links, flat_metadata, last_by_key
 from veracity_prep.operators.stats import (
     dataset_statistics,
@@ -19,6 +21,7 @@ from veracity_prep.operators.stats import (
     value_counts,
 )
 from veracity_prep.plans.integrate import (
+    TEXT_KEYS,
     article_image_records,
     build_metadata,
     corpus_texts,
@@ -26,6 +29,7 @@ from veracity_prep.plans.integrate import (
     simplify,
     single_images,
 )
+from veracity_prep.sources.processed import read_buckets, write_buckets
 
 
 def article_images(t: Inputs):
@@ -174,13 +178,15 @@ def last_text_by_id(t):
     return last_by_key(t.adapt(REPEATED), ["id"], "position", ["raw_text", "processed_text"])
 
 
-TEXTS = f"""SELECT 'statements' AS dataset, id, raw_text, NULL AS processed_text FROM (SELECT id, statement AS raw_text FROM ({STATEMENTS}))
-    UNION ALL SELECT 'threads', id, raw_text, NULL FROM ({THREADS}) UNION ALL SELECT 'articles', id, raw_text, NULL FROM ({ARTICLE_ITEMS})"""
+TEXTS = f"""SELECT 'statements' AS dataset, id, statement AS raw_text, {S.preprocessed('c', ENGLISH_STOPWORDS)} AS processed_text
+        FROM (SELECT id, statement, {S.clean_plain('statement')} AS c FROM ({STATEMENTS}))
+    UNION ALL SELECT 'threads', id, raw_text, processed_text FROM ({THREADS})
+    UNION ALL SELECT 'articles', id, raw_text, processed_text FROM ({ARTICLE_ITEMS})"""
 
 
-@query(f"SELECT dataset, id, raw_text FROM ({TEXTS})")
+@query(TEXTS)
 def integrated_texts(t):
-    return corpus_texts(corpora(t)).select("dataset", "id", "raw_text")
+    return corpus_texts(corpora(t))
 
 
 def records_sql(list_rows: int) -> str:
@@ -235,17 +241,38 @@ def integrated_images(t):
     )
 
 
+# The last record of each listed image, and a row of metadata for it that has no text.
+SINGLE = f"""SELECT image_id, path, width, height FROM (
+        SELECT concat(source, '/', article_id) AS image_id, processed_path AS path, width, height,
+            row_number() OVER (PARTITION BY source, article_id ORDER BY processed_path DESC) AS n
+        FROM ({ARTICLE_IMAGES})) WHERE n = 1"""
+
+
+def single_metadata(t: Inputs):
+    images = t.adapt(ARTICLE_IMAGES).select(F.concat_ws("/", "source", "article_id").alias("id"), "label").distinct()
+    return flat_metadata(images, "images")
+
+
+BUCKETS = 16
+
+
 @query(
-    f"""SELECT c.dataset, c.id, c.source, c.label, x.raw_text, c.original_label, c.event,
+    f"""SELECT c.dataset, c.id, c.source, c.label, x.raw_text, x.processed_text, c.original_label, c.event,
         CASE WHEN c.dataset = 'articles' THEN coalesce(r.n, 0) ELSE 0 END AS n_images, coalesce(r.records, '') AS images
     FROM ({COMBINED}) c JOIN ({TEXTS}) x ON x.dataset = c.dataset AND x.id = c.id
-    LEFT JOIN ({RECORDS}) r ON c.dataset = 'articles' AND r.source = c.source AND r.article_id = c.article_id"""
+    LEFT JOIN ({RECORDS}) r ON c.dataset = 'articles' AND r.source = c.source AND r.article_id = c.article_id
+    UNION ALL SELECT 'images', m.id, '', m.label, NULL, NULL, m.label, NULL, 1, concat(s.path, ' ', s.width, 'x', s.height)
+    FROM (SELECT DISTINCT concat(source, '/', article_id) AS id, label FROM ({ARTICLE_IMAGES})) m JOIN ({SINGLE}) s ON s.image_id = m.id"""
 )
 def simplified_items(t):
-    tables = integrate(combined(t), corpora(t), _list_images(t), article_images(t))
+    metadata = combined(t).unionByName(single_metadata(t), allowMissingColumns=True)
+    folder, whole = t.shared_folder(), corpora(t)
+    tables = integrate(metadata, whole, _list_images(t), article_images(t), buckets=BUCKETS)
+    write_buckets(tables.texts, folder, TEXT_KEYS, BUCKETS)
+    tables = tables._replace(texts=read_buckets(t.spark, folder, TEXT_KEYS, BUCKETS))
     return simplify(tables).select(
-        "dataset", "id", "source", "label", F.col("text.raw_text").alias("raw_text"),
+        "dataset", "id", "source", "label", "text.raw_text", "text.processed_text",
         F.col("metadata.original_label").alias("original_label"), F.col("metadata.event").alias("event"),
-        F.size("images").cast("bigint").alias("n_images"),
+        F.col("image_count").alias("n_images"),
         F.array_join(F.transform("images", _record), "|").alias("images"),
     )

@@ -1,6 +1,7 @@
 """Metadata, links, lists, statistics, and the whole job."""
 
 import json
+import re
 from collections import Counter
 
 import pytest
@@ -12,9 +13,10 @@ from veracity_prep.operators.metadata import article_image_links, flat_metadata,
 from veracity_prep.operators.stats import dataset_statistics, download_summary
 from veracity_prep.options import ImageOptions, Options, SplitOptions
 from veracity_prep.plans.image_corpora import article_manifest
-from veracity_prep.plans.integrate import IntegratedTables, article_image_records, build_metadata, simplify
+from veracity_prep.plans.integrate import TEXT_KEYS, IntegratedTables, article_image_records, build_metadata, corpus_texts, simplify
 from veracity_prep.plans.run import CORPORA, Corpus, Paths, register_corpus, run
 from veracity_prep.sources.images import manifest_images
+from veracity_prep.sources.processed import read_buckets, write_buckets
 
 
 @pytest.mark.parametrize("list_rows", [1, 3, 10, 1000])
@@ -205,3 +207,34 @@ def test_own_corpus(spark, tmp_path):
         del CORPORA["notes"]
     with pytest.raises(ValueError, match="unknown stages"):
         run(spark, paths, stages=["nonsense"])
+
+
+def test_bucketed_texts_are_joined_where_they_are(spark, tmp_path):
+    texts = spark.createDataFrame([("threads", f"t{i}", f"raw {i}", f"done {i}") for i in range(50)], "dataset string, id string, raw_text string, processed_text string")
+    path = f"{tmp_path}/it's texts"
+    write_buckets(texts, path, TEXT_KEYS, 4)
+    back = read_buckets(spark, path, TEXT_KEYS, 4)
+    assert {tuple(r) for r in back.collect()} == {tuple(r) for r in texts.collect()}
+    assert len(list((tmp_path / "it's texts").glob("*.parquet"))) <= 4 and not spark.catalog.listTables()
+    meta = spark.createDataFrame([("threads", f"t{i}", "", "true") for i in range(60)], "dataset string, id string, source string, label string")
+    fields = "original_size array<int>, aspect_ratio double, format string"
+    single = spark.createDataFrame([], f"image_id string, path string, annotation string, event string, {fields}")
+    linked = spark.createDataFrame([], f"processed_path string, original_filename string, source string, label string, article_id string, {fields}")
+    simple = simplify(IntegratedTables(meta, back, single, article_image_records(linked), 4))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = simple._jdf.queryExecution().executedPlan().toString()
+        # One exchange by the keys, that of the narrow side; the scan of the texts is bucketed.
+        assert len(re.findall(r"Exchange hashpartitioning\(dataset#\d+, id#\d+", text)) == 1 and "Bucketed: true" in text
+        rows = {r["id"]: r["text"] and r["text"]["processed_text"] for r in simple.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == {f"t{i}": f"done {i}" if i < 50 else None for i in range(60)}
+
+
+def test_positions_of_different_types_in_one_table(spark):
+    a = spark.createDataFrame([("1", "x", "X", (1, 2)), ("1", "y", "Y", (1, 3)), ("", "z", "Z", (9, 9))], "id string, raw_text string, processed_text string, position struct<f: int, r: int>")
+    b = spark.createDataFrame([("1", "p", None, "b"), ("1", "q", "Q", "a")], "id string, raw_text string, processed_text string, position string")
+    for buckets in (0, 3):
+        got = {tuple(r) for r in corpus_texts({"a": a, "b": b}, buckets).collect()}
+        assert got == {("a", "1", "y", "Y"), ("b", "1", "p", "")}

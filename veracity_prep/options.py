@@ -55,3 +55,5 @@ class Options:
     reaction_cut: int = 10
     #: Items of a list held in one row; the rows of a key, one after the other, are its list.
     list_rows: int = 100_000
+    #: Buckets of the table of texts; 0 takes the number of shuffle partitions of the session.
+    buckets: int = 0

@@ -43,30 +43,40 @@ def build_metadata(
     return MetadataTables(by_corpus, combined, dataset_statistics(combined))
 
 
+#: Keys of the texts, by which their table is bucketed.
+TEXT_KEYS = ["dataset", "id"]
+
+
 class IntegratedTables(NamedTuple):
-    """Related tables of the integrated dataset; article image lists in chunks."""
+    """Related tables of the integrated dataset; article image lists in chunks.
+
+    ``buckets`` is the number of buckets of ``texts``, 0 where they aren't bucketed.
+    """
 
     metadata: DataFrame
     texts: DataFrame
     images: DataFrame
     article_images: DataFrame
+    buckets: int = 0
+
 
+def corpus_texts(corpora: dict[str, DataFrame], buckets: int = 0) -> DataFrame:
+    """Raw and processed text of each item, the last one where an id repeats: ``dataset, id, …``.
 
-def corpus_texts(corpora: dict[str, DataFrame]) -> DataFrame:
-    """Raw and processed text of each item, the last one where an id repeats: ``dataset, id, …``."""
-    frames = []
+    With ``buckets`` the rows are dealt out by (dataset, id) into so many parts, once: the choice of the last one
+    and :func:`~veracity_prep.sources.processed.write_buckets` keep that partitioning.
+    """
+    frames, kinds = [], {}
     for name, items in corpora.items():
-        last = last_by_key(items, ["id"], "position", ["raw_text", "processed_text"])
-        empty = F.lit("")
-        frames.append(
-            last.select(
-                F.lit(name).alias("dataset"),
-                "id",
-                F.coalesce("raw_text", empty).alias("raw_text"),
-                F.coalesce("processed_text", empty).alias("processed_text"),
-            )
-        )
-    return union_corpora(frames)
+        # Positions of different corpora have different types, and are compared inside a corpus only.
+        kind = kinds.setdefault(items.schema["position"].dataType.simpleString(), f"_position_{len(kinds)}")
+        frames.append(items.select(F.lit(name).alias("dataset"), "id", "raw_text", "processed_text", F.col("position").alias(kind)))
+    texts = union_corpora(frames)
+    texts = (texts.repartition(buckets, *TEXT_KEYS) if buckets else texts).withColumn("_position", F.struct(*kinds.values()))
+    empty = F.lit("")
+    return last_by_key(texts, TEXT_KEYS, "_position", ["raw_text", "processed_text"]).select(
+        *TEXT_KEYS, F.coalesce("raw_text", empty).alias("raw_text"), F.coalesce("processed_text", empty).alias("processed_text")
+    )
 
 
 def _image_record(*extra: str) -> list[Column]:
@@ -97,11 +107,11 @@ def integrate(
     images: DataFrame,
     article_images: DataFrame,
     list_rows: int = 100_000,
+    buckets: int = 0,
 ) -> IntegratedTables:
     """Metadata, texts and images as related tables."""
-    return IntegratedTables(
-        metadata, corpus_texts(corpora), single_images(images), article_image_records(article_images, list_rows)
-    )
+    records = article_image_records(article_images, list_rows)
+    return IntegratedTables(metadata, corpus_texts(corpora, buckets), single_images(images), records, buckets)
 
 
 def simplify(tables: IntegratedTables) -> DataFrame:
@@ -117,9 +127,7 @@ def simplify(tables: IntegratedTables) -> DataFrame:
     rest = F.struct(*[c for c in names if c not in kept]).alias("metadata")
     article_id = F.col("article_id") if "article_id" in names else F.lit(None).cast("string")
     text = F.struct("raw_text", "processed_text").alias("text")
-    items = metadata.select(*kept, rest, article_id.alias("article_id")).join(
-        tables.texts.select("dataset", "id", text), ["dataset", "id"], "left"
-    )
+    items = metadata.select(*kept, rest, article_id.alias("article_id"))
 
     absent = F.lit(None).cast("string")
     single = F.struct(
@@ -154,4 +162,9 @@ def simplify(tables: IntegratedTables) -> DataFrame:
         of_images.withColumn("images", F.coalesce("images", none)).withColumn("image_count", F.size("images").cast("bigint")),
         others.withColumn("images", none).withColumn("image_count", zero),
     ]
-    return union_corpora([p.select(*kept, "text", "image_count", "images", "metadata") for p in parts])
+    # Texts come last: what is shuffled to meet them are narrow rows, and bucketed texts stay where they are.
+    items = union_corpora([p.select(*kept, "image_count", "images", "metadata") for p in parts])
+    if tables.buckets:
+        items = items.repartition(tables.buckets, *TEXT_KEYS)
+    whole = items.join(tables.texts.select(*TEXT_KEYS, text), TEXT_KEYS, "left")
+    return whole.select(*kept, "text", "image_count", "images", "metadata")

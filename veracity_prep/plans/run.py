@@ -22,12 +22,12 @@ from veracity_prep.plans.image_corpora import (
     load_listed_images,
     pixels_of,
 )
-from veracity_prep.plans.integrate import ARTICLES, IMAGES, build_metadata, integrate, simplify
+from veracity_prep.plans.integrate import ARTICLES, IMAGES, TEXT_KEYS, build_metadata, integrate, simplify
 from veracity_prep.plans.statements import load_statements
 from veracity_prep.plans.threads import build_threads, load_threads
 from veracity_prep.sources.articles import compact_articles
 from veracity_prep.sources.images import read_tweet_images
-from veracity_prep.sources.processed import image_summary, read_existing, read_table, write_table
+from veracity_prep.sources.processed import image_summary, read_buckets, read_existing, read_table, write_buckets, write_table
 from veracity_prep.sources.threads import compact_threads
 
 STAGES = ("text", "images", "metadata", "splits")
@@ -138,11 +138,16 @@ def _write_metadata(spark: SparkSession, paths: Paths, options: Options) -> None
     combined = read_existing(spark, paths.table("metadata", "combined"))
     write_table(dataset_statistics(combined), paths.table("metadata", "statistics"))
 
-    integrated = integrate(combined, corpora, images, article_images, options.list_rows)
-    write_table(integrated.texts, paths.table("integrated", "texts"), "dataset")
+    buckets = options.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    integrated = integrate(combined, corpora, images, article_images, options.list_rows, buckets)
+    texts = paths.table("integrated", "texts")
+    write_buckets(integrated.texts, texts, TEXT_KEYS, buckets)
     write_table(integrated.images, paths.table("integrated", "images"))
     write_table(integrated.article_images, paths.table("integrated", "article_images"))
-    integrated = integrated._replace(article_images=read_existing(spark, paths.table("integrated", "article_images")))
+    integrated = integrated._replace(
+        texts=read_buckets(spark, texts, TEXT_KEYS, buckets),
+        article_images=read_existing(spark, paths.table("integrated", "article_images")),
+    )
     write_table(simplify(integrated), paths.table("integrated", "simplified"), "dataset")
 
 
