@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from veracity_prep.functions import text as T
-from veracity_prep.operators.text import lemmatize_by_join, preprocess
+from veracity_prep.operators.text import frequent_words, lemmatize, lemmatize_by_join, preprocess
 from veracity_prep.options import TextOptions
 
 AWKWARD = [
@@ -163,3 +163,19 @@ def test_lemma_join_keeps_null_arrays(spark):
     lexicon = spark.createDataFrame([("a", "z")], "form string, lemma string")
     out = lemmatize_by_join(df, "w", lexicon, ["k"])
     assert {r["k"]: r["w"] for r in out.collect()} == {1: ["z", "b"], 2: None}
+
+
+def test_lexicons_of_any_size_give_the_same_rows(spark):
+    words = ["the", "cats", "sat", "mice", "Ünï", "it's", "x" * 50, "\"q\"", "\\"]
+    rows = [(k, [words[(k * j) % len(words)] for j in range(k % 12)] + [f"w{k}"]) for k in range(200)] + [(None, ["cats", None, "mice"]), (7, ["mice"]), (500, None), (501, [])]
+    df = spark.createDataFrame(rows, "k int, w array<string>")
+    pairs = [("cats", "cat"), ("cats", "zzz"), ("mice", "mouse"), ("sat", "sat"), ("Ünï", "u"), ("\"q\"", "q"), ("\\", "backslash"), (None, "n"), ("the", None)]
+    pairs += [(f"w{k}", f"v{k}") for k in range(0, 200, 3)]
+    lexicon = spark.createDataFrame(pairs, "form string, lemma string")
+    want = {"cats": "cat", "mice": "mouse", "Ünï": "u", "\"q\"": "q", "\\": "backslash"} | {f"w{k}": f"v{k}" for k in range(0, 200, 3)}
+    expected = sorted(repr((k, w and [want.get(t, t) for t in w])) for k, w in rows)
+    for map_rows in (10, 100):
+        out = lemmatize(df, "w", lexicon, ["k"], map_rows)
+        assert sorted(repr((r["k"], r["w"])) for r in out.collect()) == expected
+    assert frequent_words(df.limit(0), "w") == [] and frequent_words(df, "w")[0] == "the"
+    assert lemmatize_by_join(df, "w", lexicon.limit(0), ["k"]).count() == len(rows)
