@@ -68,6 +68,19 @@ def test_near_duplicate_edge_rows(spark):
     assert sorted(str(r.doc_id) for r in near_dedup.one_of_each(docs).collect()) == ["2", "None", "None"]
 
 
+def test_one_id_with_several_texts(spark):
+    rng = random.Random(12)
+    one, seven, far = (" ".join(prose(rng, 60)) for _ in range(3))
+    near = " ".join(noisy(rng, seven.split(), 0.02))
+    rows = [(1, one), (5, one.upper()), (5, seven), (7, near), (9, far), (9, ""), (10, "alone here"), (11, None), (11, " "), (9, far), (12, far), (20, "p q"), (20, "r s"), (21, "p q"), (22, "r s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("place", F.lit(3)).repartition(4)
+    got = near_dedup.near_duplicates(docs, 2).collect()
+    assert len(got) == len(rows)
+    want = {1: 1, 5: 1, 7: 1, 9: 9, 10: 10, 11: 11, 12: 9, 20: 20, 21: 20, 22: 20}
+    assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(k, c, k == c) for k, c in want.items()}
+    assert sorted(map(tuple, near_dedup.one_of_each(docs, 2).collect()), key=str) == sorted([(1, one, 3), (9, "", 3), (10, "alone here", 3), (11, " ", 3), (20, "p q", 3)], key=str)
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(1)
     a, b = (np.unique(rng.integers(0, 1 << 63, 900, dtype=np.uint64)) for _ in range(2))

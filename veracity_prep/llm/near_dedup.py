@@ -14,7 +14,8 @@ confirmed links leave a cell. Components come from alternating large-star and sm
 
 Nulls and edge cases: a null or blank text has an empty set and is linked with nothing; a text with fewer words than
 a shingle is one shingle; rows without a doc_id take part in no link and keep a null component; repeated rows of a
-doc_id all come back, with one component. Extra columns are ignored. An empty table gives an empty result.
+doc_id all come back, with one component: rows of one doc_id are linked with each other, whatever their texts, and a
+class reaches through all of them. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from veracity_prep.llm.shared import cut
+from veracity_prep.llm.shared import cut, fresh
 
 #: Base of the register steps, and rate of the exponential hash values: small sets stay clear of the lowest step.
 BASE, RATE, TOP = 1.02, 20.0, 65_534
@@ -129,16 +130,18 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """id and the sorted 64-bit hashes of the whole set."""
+    """id and the sorted 64-bit hashes of the whole set, of the rows (``id, set_key, text``) whose text has that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                hashes = pa.array((shingle_set(t.as_py(), size).tobytes() for t in part.column(1)), pa.binary(), size=part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column(0), hashes], names=["id", "hashes"])
+                hashes = pa.array((shingle_set(t.as_py(), size).tobytes() for t in part.column(2)), pa.binary(), size=part.num_rows)
+                # A doc_id with several texts comes with each of them.
+                own = pa.array([xxhash.xxh3_128_digest(h.as_buffer()) == k.as_py() for h, k in zip(hashes, part.column(1), strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(own), hashes.filter(own)], names=["id", "hashes"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, hashes binary")
+    return docs.select("id", "set_key", "text").mapInArrow(run, "id long, hashes binary")
 
 
 def within_reach(pairs: pa.RecordBatch, percent: int) -> np.ndarray:
@@ -262,7 +265,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """
     signed = cut(signatures(docs, words), "signatures")
     nodes = cut(
-        signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers")),
+        signed.where("n_shingles > 0 and doc_id is not null")
+        .groupBy("set_key")
+        .agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+        .withColumn("id", F.monotonically_increasing_id()),
         "set-nodes",
     )
     hashes = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring(F.col("registers"), k * (2 * ROWS) + 1, F.lit(2 * ROWS))))
@@ -274,7 +280,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     stars = held.join(picks, "bucket").where("id <> pick.id").where(near("n", "pick.n")).select(F.least("id", "pick.id").alias("a"), F.greatest("id", "pick.id").alias("b")).distinct()
     stars = cut(likely(stars, nodes, percent), "star-pairs")
     wanted = stars.select(F.explode(F.array("a", "b")).alias("id")).unionByName(held.where("members > 2").select("id")).distinct()
-    sets = cut(full_sets(docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id"), words), "shingle-sets")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text")
+    sets = cut(full_sets(texts.join(nodes.select("id", "doc", "set_key").join(wanted, "id"), "doc"), words), "shingle-sets")
     found = components(confirmed(stars, sets, percent))
     # Buckets that still hold different components: what they connect is a neighbourhood.
     mixed = held.where("members > 2").join(found, "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("c"))
@@ -284,18 +291,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         hoods = components(mixed.select(F.col("c").alias("a"), F.col("first").alias("b"))).select(F.col("id").alias("c"), F.col("component").alias("hood"))
         crossing = across(mixed.select("id", "n", "c").distinct().join(hoods, "c"), sets, percent)
         found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(crossing))
-    classes = nodes.select("set_key", "id").join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("component"))
+    # Rows of one doc_id with different sets: usually there are none.
+    keys = signed.where("doc_id is not null").groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"), F.max(F.col("set_key").isNull()).alias("blank"))
+    split = cut(keys.where("low <> high or low is not null and blank").select("doc_id"), "split-ids")
+    several = not split.isEmpty()
+    if several:
+        held_by = signed.select("doc_id", "set_key").join(split, "doc_id", "left_semi").distinct().join(nodes.select("set_key", "id"), "set_key")
+        least = held_by.groupBy("doc_id").agg(F.min("id").alias("a"))
+        shared = held_by.join(least, "doc_id").where("id <> a").select("a", F.col("id").alias("b"))
+        found = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(shared))
+    linked = nodes.select("id", "doc").join(found, "id")
+    smallest = linked.groupBy("component").agg(F.min("doc").alias("least"))
+    linked = linked.join(smallest, "component").select("id", "least")
+    classes = nodes.select("set_key", "id", "doc").join(linked, "id", "left").select("set_key", F.coalesce("least", "doc").alias("component"))
     out = signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(classes, "set_key", "left")
+    if several:
+        # Blank rows of such a doc_id have its class too.
+        of_split = out.join(split, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component").alias("whole"))
+        out = out.join(of_split, "doc_id", "left").withColumn("component", F.coalesce("whole", "component"))
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest doc_id of each class, with the columns of ``docs``; one row for each doc_id.
+    """The document with the smallest doc_id of each class, with the columns of ``docs``; one row for each doc_id, of
+    several the one with the smallest text (null last).
 
     Rows without a doc_id belong to no class and all stay.
     """
     kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    # The join leaves rows in order of doc_id; dropping repeated rows needs no further shuffle.
-    chosen = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.where("doc_id is null"))
+    place = fresh(docs, "place")
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    chosen = docs.join(kept, docs["doc_id"].cast("long") == kept["doc_id"], "left_semi").withColumn(place, F.row_number().over(order))
+    return chosen.where(F.col(place) == 1).drop(place).unionByName(docs.where("doc_id is null"))
