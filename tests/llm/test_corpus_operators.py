@@ -176,6 +176,19 @@ def test_top_k_equals_brute_force(spark, dim):
     assert topk.top_k(vectors.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e3, 1e6, 1e9, 1e300])
+def test_top_k_of_large_components(spark, size):
+    rng = np.random.default_rng(3)
+    rows = [(k, [float(x) for x in rng.normal(size=6) * (size if k % 3 else 1)]) for k in range(90)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {k: [int(x) * 64 if abs(x) > 2**53 else int(np.floor(x * 64)) for x in v] for k, v in rows}
+    limit, want = 2**63 - 1, set()
+    for q in range(0, 90, 20):
+        scored = sorted((-max(-limit, min(limit, sum(x * y for x, y in zip(whole[q], v, strict=True)))), k) for k, v in whole.items() if k != q)[:20]
+        want |= {(q, n + 1, k, -s) for n, (s, k) in enumerate(scored)}
+    assert {tuple(r) for r in topk.top_k(vectors, F.col("vec_id") % 20 == 0).collect()} == want
+
+
 def test_licences_and_inheritance(spark):
     notice = "Licensed under the Apache License, Version 2.0."
     rows = [
