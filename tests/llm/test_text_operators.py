@@ -230,3 +230,50 @@ def test_chain_marginals_equal_enumeration():
             weights += w * np.array(y)
         assert np.allclose(got[at : at + n], weights / total)
         at += n
+
+
+LONG = "Words, and more of them, make a paragraph that is long enough to count as text of an article. " * 3
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ('<div class="layout has-sidebar">', "</div>"), ('<div class="elementor-widget text">', "</div>"), ('<div id="main-no-ads">', "</div>"),
+        ('<div class="comments-on page-footer"><article>', "</article></div>"), ("<div>" * 20 + "<main>", "</main>" + "</div>" * 20),
+    ],
+)
+def test_wrappers_with_telling_names_are_kept(before, after):
+    page = f"<nav>Menu</nav>{before}<p>{LONG}</p><p>{LONG}</p>{after}<div class=comments><p>{LONG}</p></div><footer>f</footer>"
+    assert html_extract.main_text(page) == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
+def test_headlines_and_sections_of_an_article():
+    for depth in (1, 3, 13, 200):
+        page = f"<article>{'<div>' * depth}<header><h1>Head</h1></header><p>{LONG}</p>{'</div>' * depth}</article><header><h1>Site</h1></header>"
+        assert html_extract.main_text(page) == f"Head\n\n{LONG.strip()}", depth
+    work = f'<article><p>{LONG}</p><section class="related-work"><p>{LONG}</p></section><div class=related><a href=x>one more page</a></div></article>'
+    assert html_extract.main_text(work) == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
+def test_scripts_end_at_their_end_tag():
+    assert html_extract.main_text(f'<p>{LONG}</p><script src="a.js"/>var code = 1;</script><p>{LONG}</p><svg/><svg><p>x</p></svg>') == f"{LONG.strip()}\n\n{LONG.strip()}"
+    assert html_extract.main_text(f"<p>{LONG}</p><script>if (a </scripts>) b</script x><p>{LONG}</p>") == f"{LONG.strip()}\n\n{LONG.strip()}"
+
+
+def test_malformed_pages_take_linear_time():
+    import time
+
+    for piece, start in (("<b>y</x>", ""), ("</b>", "<b><div>" + "<i>" * 20_000), ("x<div></div>", "<i>" * 20_000), ("<li>x", "<div>" * 20_000), ("<p>", "<i>" * 20_000), ("<td>", ""), ("</div>", "<p>" * 20_000)):
+        took = []
+        for size in (50_000, 400_000):
+            page, begin = start + piece * (size // len(piece)), time.perf_counter()
+            html_extract.main_text(page)
+            took.append(time.perf_counter() - begin)
+        assert took[1] < 20 * took[0] + 1, piece
+
+
+def test_scoring_alone_finds_the_article(spark):
+    """The pages without their article and main tags, where only the scores can tell."""
+    for page in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
+        bare = re.sub(r"<(/?)(?:article|main)\b", r"<\1div", page.html)
+        assert html_extract.main_text(bare) == html_extract.main_text(page.html), page.page_id

@@ -1,8 +1,10 @@
 """Main text of web pages by tree scoring.
 
 The tags of a page make a tree; elements that end implicitly are closed as browsers do. Boilerplate elements (menus,
-footers, asides, forms, scripts and the like, by tag, role, or words in class and id) are left out with all they
-hold. Every block of text gives points for its length and its commas to its parent, half of them to the grandparent,
+footers, asides, forms, scripts and the like, by tag or role, or because they are hidden) are left out with all they
+hold. Words in class and id are evidence, weighed against what an element holds: one that holds the article or main
+element is no boilerplate, whatever its name, and vague words (widget, related and the like) count only for an element
+with less than half of the page's points, and inside an article only for a list of links. Every block of text gives points for its length and its commas to its parent, half of them to the grandparent,
 a third to the next, less the share of its text that is links. The best container is kept, widened to the article or
 main element it lies in, with siblings that score a fifth of it and headings right before it.
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 
 #: Elements whose content is no markup; comments; tags; declarations.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|title|svg|math|xmp|noembed|noframes)\b[^>]*+(?<!/)>.*?(?:</\1\s*+>|\Z)"
+    # A slash before the bracket closes foreign elements only.
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|title|xmp|noembed|noframes|(?:svg|math)(?![^>]*/>))\b[^>]*+>.*?(?:</\1\b[^>]*+>|\Z)"
     r"|<(/?)([a-z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-z][^\s/<>]*+)([^<>]*+)>|<[!?/][^<>]*+>",
     re.S | re.I,
 )
@@ -38,12 +42,17 @@ HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Left out with all they hold.
 DROPPED = frozenset("head nav footer aside form select button dialog menu search object embed canvas audio video map fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
+#: Words of a class or id that name boilerplate, unless they say what a layout has or lacks; and words that may.
+_APART = r"(?:^|(?<=[\s_-]))(?<!\bno[_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bwithout[_-])"
 WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w*|sidebar|side|"
-    r"menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|topbar|comments?|commentlist|disqus|replies|respond|reviews|share|sharing|social|related|"
-    r"recommended|widget|toolbar|pagination|pager|login|signup|skip)(?=$|[\s_-])",
+    _APART + r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w*|sidebar|"
+    r"menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|topbar|comments?|commentlist|disqus|replies|respond|share|sharing|social|"
+    r"toolbar|pagination|pager|login|signup|skip)(?=$|[\s_-])",
     re.I,
 )
+VAGUE = re.compile(_APART + r"(?:side|reviews|related|recommended|widget)(?=$|[\s_-])", re.I)
+#: Verdicts on an element: kept, left out for a vague or a clear word if it holds no content, left out.
+KEPT, VAGUELY, CLEARLY, LEFT_OUT = range(4)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: What an opening tag closes: open elements of these names above the nearest barrier.
 CLOSES = {
@@ -57,27 +66,33 @@ CONTENT = ("article", "main")
 LEAST, SHARE = 10.0, 0.2
 
 
-def dropped(tag: str, attributes: str, inside_content: bool) -> bool:
+def verdict(tag: str, attributes: str, inside_content: bool) -> int:
     if tag in DROPPED or tag == "header" and not inside_content:
-        return True
+        return LEFT_OUT
     if not attributes or attributes.isspace() or tag in ("html", "body", "article", "main"):
-        return False
+        return KEPT
+    found = KEPT
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
-        if name in ("class", "id") and WORDS.search(value):
-            return True
+        if name in ("class", "id"):
+            found = max(found, CLEARLY if WORDS.search(value) else VAGUELY if VAGUE.search(value) else KEPT)
         if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return LEFT_OUT
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return LEFT_OUT
+    return found
 
 
 class Page:
-    """Elements (tag, parent, whether left out) and the blocks of text in page order."""
+    """Elements (tag, parent, verdict, whether inside content) and the blocks of text in page order.
+
+    Open elements are counted by name, inline ones apart inside each open block, so that a stray end tag costs one
+    lookup and every search closes what it passes: the work is linear in the page.
+    """
 
     def __init__(self, source: str):
-        self.tags, self.parents, self.out = ["#"], [-1], [False]
+        self.tags, self.parents, self.verdicts, self.out, self.inside = ["#"], [-1], [KEPT], [False], [False]
+        self.holders, self.blocks_open, self.inline_open = [0], Counter(), [Counter()]
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self.open, self.parts, self.linked, self.links = [0], [], 0, 0
         at = 0
@@ -104,15 +119,22 @@ class Page:
         if self.parts:
             text = " ".join(entities.unescape("".join(self.parts)).split())
             if text:
-                holder = next((x for x in reversed(self.open) if self.tags[x] in BLOCK), 0)
-                self.blocks.append((holder, text, min(self.linked, len(text))))
+                self.blocks.append((self.holders[-1], text, min(self.linked, len(text))))
             self.parts, self.linked = [], 0
 
     def pop(self, depth: int) -> None:
         """Closes open elements down to ``depth``."""
         if any(self.tags[x] in BLOCK for x in self.open[depth:]):
             self.flush()
-        self.links -= sum(self.tags[x] == "a" for x in self.open[depth:])
+        for x in reversed(self.open[depth:]):
+            tag = self.tags[x]
+            self.links -= tag == "a"
+            if tag in BLOCK:
+                self.blocks_open[tag] -= 1
+                self.holders.pop()
+                self.inline_open.pop()
+            else:
+                self.inline_open[-1][tag] -= 1
         del self.open[depth:]
 
     def start(self, tag: str, attributes: str) -> None:
@@ -123,14 +145,14 @@ class Page:
             self.flush()
         if tag in VOID:
             return
-        if tag in NOT_IN_P:
+        if tag in NOT_IN_P and self.blocks_open["p"]:
             for k in range(len(self.open) - 1, 0, -1):
                 if self.tags[self.open[k]] == "p":
                     self.pop(k)
                     break
                 if self.tags[self.open[k]] in BLOCK:
                     break
-        if tag in CLOSES:
+        if tag in CLOSES and any(self.blocks_open[x] for x in CLOSES[tag]):
             depth = None
             for k in range(len(self.open) - 1, 0, -1):
                 name = self.tags[self.open[k]]
@@ -138,31 +160,73 @@ class Page:
                     break
                 if name in CLOSES[tag]:
                     depth = k
+                elif depth:
+                    break
             if depth:
                 self.pop(depth)
         above = self.open[-1]
-        inside = self.out[above] or dropped(tag, attributes, any(self.tags[x] in CONTENT for x in self.open[-12:]))
+        found = verdict(tag, attributes, self.inside[above])
         self.tags.append(tag)
         self.parents.append(above)
-        self.out.append(inside)
+        self.verdicts.append(found)
+        self.out.append(self.out[above] or found == LEFT_OUT)
+        self.inside.append(self.inside[above] or tag in CONTENT)
         self.open.append(len(self.tags) - 1)
         self.links += tag == "a"
+        if tag in BLOCK:
+            self.blocks_open[tag] += 1
+            self.holders.append(self.open[-1])
+            self.inline_open.append(Counter())
+        else:
+            self.inline_open[-1][tag] += 1
 
     def close(self, tag: str, _: str) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.tags[self.open[k]] == tag:
-                self.pop(k)
-                return
-            if tag not in BLOCK and self.tags[self.open[k]] in BLOCK:
-                return  # a stray end of an inline element doesn't close blocks
+        # The end of an inline element doesn't close blocks.
+        if self.blocks_open[tag] if tag in BLOCK else self.inline_open[-1][tag]:
+            for k in range(len(self.open) - 1, 0, -1):
+                if self.tags[self.open[k]] == tag:
+                    self.pop(k)
+                    return
+
+    def leave_out(self, gains: list[float]) -> list[bool]:
+        """Which elements are left out for the words in their class or id, by what they hold of the page's ``gains``."""
+        n = len(self.tags)
+
+        def held() -> tuple[list[float], list[int], list[int]]:
+            points, size, linked = [0.0] * n, [0] * n, [0] * n
+            for (holder, text, in_links), gain in zip(self.blocks, gains, strict=True):
+                if not out[holder]:
+                    points[holder] += gain
+                    size[holder] += len(text)
+                    linked[holder] += in_links
+            for x in range(n - 1, 0, -1):  # parents come before their children
+                for sums in (points, size, linked):
+                    sums[self.parents[x]] += sums[x]
+            return points, size, linked
+
+        content = [tag in CONTENT for tag in self.tags]
+        for x in range(n - 1, 0, -1):
+            content[self.parents[x]] |= content[x]
+        out = [False] * n
+        for x in range(1, n):
+            out[x] = out[self.parents[x]] or self.verdicts[x] == CLEARLY and not content[x]
+        points, size, linked = held()
+        for x in range(1, n):
+            few_links = self.inside[self.parents[x]] and linked[x] < size[x] / 5
+            vague = self.verdicts[x] == VAGUELY and not content[x] and not few_links and points[x] <= points[0] / 2
+            out[x] = out[x] or out[self.parents[x]] or vague
+        return out
 
     def main_text(self) -> str:
         if not self.blocks:
             return ""
         n = len(self.tags)
+        gains = [(min(len(text) / 100, 3) + text.count(",") + (len(text) >= 25)) * (1 - in_links / len(text)) for _, text, in_links in self.blocks]
+        out = self.leave_out(gains)
+        gains = [g for g, (holder, _, _) in zip(gains, self.blocks, strict=True) if not out[holder]]
+        self.blocks = [b for b in self.blocks if not out[b[0]]]
         points, size, linked = [0.0] * n, [0] * n, [0] * n
-        for holder, text, in_links in self.blocks:
-            gain = (min(len(text) / 100, 3) + text.count(",") + (len(text) >= 25)) * (1 - in_links / len(text))
+        for (holder, text, in_links), gain in zip(self.blocks, gains, strict=True):
             container = self.parents[holder] if self.tags[holder] in ("p", "li", "pre", "blockquote", "td", "dd") or self.tags[holder] in HEADINGS else holder
             for share in (1.0, 0.5, 1 / 3, 0.25):
                 if container < 0:
