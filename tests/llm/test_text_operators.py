@@ -205,6 +205,21 @@ def test_quality_on_held_out_documents(spark):
     assert set(got.doc_id) == {d for d in labels.toPandas().doc_id if zlib.crc32(str(d).encode()) % 5 == 0}
 
 
+def test_quality_trains_on_whole_texts(spark, monkeypatch):
+    good, bad = "A plain line of words that reads well.", "@@## $$$$ %%%% &&&& @@## ****"
+    # Bad documents whose bad lines come late, and one document that is too long for what is left of the sample.
+    rows = [(k, "\n".join([good] * 60 + [bad] * 60 if k % 2 else [good] * 120)) for k in range(1, 240)] + [(241, good * 250_000), (1, "\n".join([good] * 60 + [bad] * 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k, _ in rows] + [(2, 0)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    assert max(s for k, s in got.items() if k % 2 and k < 241) < quality.THRESHOLD < min(s for k, s in got.items() if k % 2 == 0)
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda texts, marks: seen.update(texts=texts, marks=marks))
+    quality.train(docs, labels)
+    ids = [k for k, _ in rows if zlib.crc32(str(k).encode()) % 5 and k not in (2, 241)]
+    assert sorted(seen["texts"]) == sorted(dict(rows[:-1])[k] for k in ids) and len(seen["marks"]) == len(ids)
+
+
 def test_quality_without_labels_or_texts(spark):
     docs = frame(spark, [None, "", "A b.", "x", "\n\n", "word " * 3000, "y", "z"])
     none = spark.createDataFrame([(1, None)], "doc_id long, quality int")

@@ -6,12 +6,13 @@ and after it. Forward-backward gives each line's marginal of being good; the mea
 their lengths, is put through a logistic calibration and is the document's score.
 
 Training: up to ``SAMPLE`` labelled documents, taken in the order of a hash of doc_id from the rows whose
-crc32(doc_id as text) mod 5 is not 0, with up to ``LINES`` lines each. That sample alone reaches the driver; its
-bound doesn't depend on the corpus. A line starts with its document's label; then lines of bad documents that the
+crc32(doc_id as text) mod 5 is not 0, each with its whole text, as long as they have ``CHARACTERS`` characters
+together; one that would pass that is left out of the sample. That sample alone reaches the driver; its bound doesn't
+depend on the corpus. A line starts with its document's label; then lines of bad documents that the
 model finds good are relabelled, and the model is fitted again. Scores use nothing but the text.
 
 Nulls and edge cases: null and empty texts are one empty line and get a score as any other; labels that are null or
-belong to no document are left out; without labels of both kinds every score is 0.5. Repeated rows are scored each.
+belong to no document are left out, and so are documents with labels of both kinds; without labels of both kinds every score is 0.5. Repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bounds of the training sample: documents, and lines of each.
-SAMPLE, LINES = 2_500, 48
+#: Bounds of the training sample: documents, and characters of all of them.
+SAMPLE, CHARACTERS = 2_500, 8_000_000
 #: Rounds of relabelling lines, gradient steps in each, weight decay.
 ROUNDS, STEPS, DECAY = 1, 120, 1e-3
 THRESHOLD = 0.3
@@ -204,12 +205,20 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fits on the bounded sample; a broadcast of at most ``SAMPLE`` labels picks its documents in one scan."""
-    usable = labels.select(F.col("doc_id").cast("long"), "quality").where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id"))).distinct()
-    picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE)
-    head = F.array_join(F.slice(F.split(F.coalesce("text", F.lit("")), "\n", LINES + 1), 1, LINES), "\n")
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "quality", F.substring(head, 1, 200 * LINES).alias("text"))
-    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(2 * SAMPLE).collect()
+    """Fits on the bounded sample; a broadcast of at most ``SAMPLE`` labels picks its documents, by their lengths first."""
+    usable = labels.select(F.col("doc_id").cast("long"), "quality").where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
+    agreed = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").drop("other")
+    picked = agreed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    # Repeated rows of a document count with all their characters.
+    lengths = texts.groupBy("doc_id").agg(F.sum(F.length("text") + 1).alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    chosen, held = [], 0
+    for row in lengths:
+        if held + row["size"] <= CHARACTERS:
+            held += row["size"]
+            chosen.append((row["doc_id"],))
+    wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long")
+    rows = texts.join(F.broadcast(wanted), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").select("text", "quality").collect()
     return fit([r.text for r in rows], np.array([r.quality for r in rows], float))
 
 
