@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import sqltext as S
 from checks.articles import ITEMS as ARTICLE_ITEMS
 from checks.articles import articles
 from checks.images import LIST, MANIFEST, manifest
-from checks.metadata import COMBINED, combined
+from checks.metadata import LINKS, bare_paths, combined
 from checks.splits import STRATIFIED, items
-from checks.statements import LABEL
+from checks.statements import LABEL, SCORE, TOTAL
 from checks.tables import IMAGE_LINES, STATEMENTS, Inputs, query
 from checks.threads import THREADS, threads
+from veracity_prep.functions.text import ENGLISH_STOPWORDS
 from veracity_prep.operators.splits import stratified_split
-from veracity_prep.operators.stats import part_counts
 from veracity_prep.plans.statements import load_statements
 from veracity_prep.schemas import ARTICLE, THREAD
 from veracity_prep.sources.images import read_image_list, read_manifest
@@ -53,11 +54,16 @@ def _read_parts(t: Inputs, folder: str):
     return read_statements(t.spark, folder, name_glob="*.csv").drop("split")
 
 
-@query(f"SELECT label, count(*) AS n FROM (SELECT {LABEL} AS label FROM ({STATEMENTS})) GROUP BY label")
+@query(
+    f"""SELECT id, statement AS raw_text, {S.preprocessed('c', ENGLISH_STOPWORDS)} AS processed_text, label AS original_label,
+        {LABEL} AS standard, speaker, job_title AS speaker_job, context, {SCORE} AS score
+        FROM (SELECT *, {S.clean_plain('statement')} AS c FROM ({STATEMENTS}))"""
+)
 def statement_files_to_items(t):
-    folder = _statement_files(t)
-    items = load_statements(t.spark, f"{folder}/*.tsv", name_glob="*.csv")
-    return part_counts(items, "label")
+    items = load_statements(t.spark, f"{_statement_files(t)}/*.tsv", name_glob="*.csv")
+    m = [f"metadata.{c}" for c in ("speaker", "speaker_job", "context")]
+    score = F.round("metadata.reliability_score", 9).alias("score")
+    return items.select("id", "raw_text", "processed_text", "original_label", F.col("label").alias("standard"), *m, score)
 
 
 @query(LIST)
@@ -84,20 +90,53 @@ def scan_written_threads(t):
     return back.select("id", "event", "label", F.array_join("reactions", "|").alias("reactions"), "reaction_count")
 
 
-@query(f"SELECT source, original_label, count(*) AS n FROM ({ARTICLE_ITEMS}) GROUP BY source, original_label")
+@query(
+    f"""SELECT id, source, raw_text, processed_text, original_label, label, title, url, authors, image_urls, image_count, description, tweet_count
+    FROM ({ARTICLE_ITEMS})"""
+)
 def scan_written_articles(t):
     folder = t.shared_folder()
     write_table(articles(t), folder, "source", "original_label")
-    return part_counts(read_table(t.spark, folder, ARTICLE), "source", "original_label")
+    back, m = read_table(t.spark, folder, ARTICLE), F.col("metadata")
+    return back.select(
+        "id", "source", "raw_text", "processed_text", "original_label", "label",
+        *[m[c].alias(c) for c in ("title", "url", "image_count", "description", "tweet_count")],
+        F.array_join(m["authors"], "|").alias("authors"), F.array_join(m["image_urls"], "|").alias("image_urls"),
+    )
+
+
+# Every column of the combined metadata; a corpus has NULL in the columns of the others.
+_OF_STATEMENTS = {
+    "subject": "subject", "speaker": "speaker", "speaker_job": "job_title", "state": "state_info", "party": "party", "context": "context",
+    "total_statements": TOTAL, "reliability_score": SCORE,
+}
+_OF_THREADS = {"event": "event", "rumor_id": "rumor_id", "non_rumor_id": "CASE WHEN NOT is_rumor THEN id END", "reaction_count": "reaction_count", "is_rumor": "is_rumor"}
+_OF_ARTICLES = {
+    "article_id": "i.article_id", "title": "i.title", "url": "i.url", "date_published": "''", "declared_image_count": "i.image_count", "description": "i.description",
+    "tweet_count": "i.tweet_count", "image_count": "coalesce(l.n, 0)", "paths": "coalesce(l.paths, '')",
+}
+
+
+def _rest(own: dict[str, str]) -> str:
+    names = [*_OF_STATEMENTS, *_OF_THREADS, *_OF_ARTICLES]
+    return ", ".join(f"{own.get(n, 'NULL')} AS {n}" for n in names)
+
+
+WHOLE_METADATA = f"""
+    SELECT 'statements' AS dataset, id, '' AS source, {LABEL} AS label, label AS original_label, true AS has_text, false AS has_images, {_rest(_OF_STATEMENTS)} FROM ({STATEMENTS})
+    UNION ALL SELECT 'threads', id, '', label, label, raw_text <> '', false, {_rest(_OF_THREADS)} FROM ({THREADS})
+    UNION ALL SELECT 'articles', i.id, i.source, i.label, i.original_label, true, coalesce(l.n, 0) > 0, {_rest(_OF_ARTICLES)}
+    FROM ({ARTICLE_ITEMS}) i LEFT JOIN ({LINKS}) l ON l.source = i.source AND l.article_id = i.article_id"""
 
 
-@query(f"SELECT id, label, has_text FROM ({COMBINED})")
+@query(WHOLE_METADATA)
 def scan_metadata_csv(t):
     folder = t.shared_folder()
     metadata = combined(t)
     write_table(metadata, folder, fmt="csv")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in metadata.schema.fields)
-    return read_table(t.spark, folder, schema, fmt="csv").select("id", "label", "has_text")
+    back = read_table(t.spark, folder, schema, fmt="csv")
+    return back.withColumn("reliability_score", F.round("reliability_score", 9)).withColumn("paths", bare_paths(F.col("image_paths"))).drop("image_paths")
 
 
 @query(STRATIFIED)

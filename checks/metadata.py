@@ -109,12 +109,16 @@ def linked_article_metadata_in_chunks(t):
 def _linked(t: Inputs, list_rows: int):
     links = article_image_links(article_images(t), list_rows)
     linked = build_metadata({"articles": articles(t)}, links).by_corpus["articles"]
-    # The ratio is left out of the comparison of the JSON text: its digits differ between engines.
-    bare = F.regexp_replace("image_paths", r',"aspect_ratio":[0-9.]+\}', "")
-    paths = F.replace(F.regexp_replace(bare, r"^\[|\]$", ""), F.lit("],{"), F.lit("]+{"))
+    paths = bare_paths(F.col("image_paths"))
     return linked.select("id", "declared_image_count", "image_count", "has_images", paths.alias("paths"))
 
 
+def bare_paths(paths):
+    """JSON of links as the SQL makes it. The ratio is left out: its digits differ between engines."""
+    bare = F.regexp_replace(paths, r',"aspect_ratio":[0-9.]+\}', "")
+    return F.replace(F.regexp_replace(bare, r"^\[|\]$", ""), F.lit("],{"), F.lit("]+{"))
+
+
 @query(f"SELECT coalesce(dataset, 'combined') AS dataset, count(*) AS n FROM ({COMBINED}) GROUP BY ROLLUP (dataset)")
 def items_by_dataset(t):
     return item_counts(combined(t))

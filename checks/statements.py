@@ -17,9 +17,9 @@ _B, _F, _H, _M, _P = (
     f"CAST(coalesce({c}, 0) AS INTEGER)"
     for c in ("barely_true_counts", "false_counts", "half_true_counts", "mostly_true_counts", "pants_on_fire_counts")
 )
-_TOTAL = f"({_B} + {_F} + {_H} + {_M} + {_P})"
-SCORE = f"""CASE WHEN {_TOTAL} > 0 THEN round(CAST(0.75 * {_M} + 0.5 * {_H} + 0.25 * {_B} - 0.5 * {_P} AS DOUBLE)
-    / CAST({_TOTAL} AS DOUBLE), 9) END"""
+TOTAL = f"({_B} + {_F} + {_H} + {_M} + {_P})"
+SCORE = f"""CASE WHEN {TOTAL} > 0 THEN round(CAST(0.75 * {_M} + 0.5 * {_H} + 0.25 * {_B} - 0.5 * {_P} AS DOUBLE)
+    / CAST({TOTAL} AS DOUBLE), 9) END"""
 
 
 def raw_statements(t: Inputs):
@@ -38,7 +38,7 @@ def statement_labels(t):
 
 @query(
     f"""SELECT id, {_B} AS barely_true, {_F} AS "false", {_H} AS half_true, {_M} AS mostly_true, {_P} AS pants_on_fire,
-        {_TOTAL} AS total_statements, {SCORE} AS reliability_score FROM ({STATEMENTS})"""
+        {TOTAL} AS total_statements, {SCORE} AS reliability_score FROM ({STATEMENTS})"""
 )
 def speaker_reliability(t):
     return statements(t).select(

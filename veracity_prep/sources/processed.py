@@ -52,11 +52,15 @@ def read_buckets(spark: SparkSession, path: str, keys: Sequence[str], buckets: i
 
 
 def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
-    """A written table, all parts together; an empty table of ``schema`` when there is none."""
+    """A written table, all parts together; an empty table of ``schema`` when there is none.
+
+    In a CSV table an empty field is NULL and a quoted empty one the empty string, as the writer makes them.
+    """
 
     def scan() -> DataFrame:
         reader = spark.read.schema(schema).format(fmt)
-        return (reader.option("header", True) if fmt == "csv" else reader).load(path)
+        # The mark for NULL is one that no field holds: as the empty string it would take quoted empty fields too.
+        return (reader.options(header=True, nullValue="\x00", emptyValue="", multiLine=True) if fmt == "csv" else reader).load(path)
 
     return or_empty(spark, scan, schema)
 
