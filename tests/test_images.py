@@ -11,7 +11,7 @@ from trees import article_images, images, jpeg_with_tags, png, write
 from veracity_prep.operators.images import exif_tags, image_tags, resample_images, resample_pixels
 from veracity_prep.options import ImageOptions
 from veracity_prep.plans.image_corpora import inventory_keys, listed_image_plan, load_article_images, load_listed_images, pixels_of
-from veracity_prep.sources.images import image_paths, path_batches, read_image_list, read_images
+from veracity_prep.sources.images import image_paths, path_batches, read_image_list, read_images, read_manifest
 from veracity_prep.sources.processed import image_summary
 
 
@@ -39,7 +39,7 @@ def test_list_in_raw_directory_wins(spark, tmp_path):
 
 def test_article_images(spark, tmp_path):
     root = article_images(tmp_path)
-    rows = load_article_images(spark, str(root), str(root / "metadata" / "list.json"), "/out").records.collect()
+    rows = load_article_images(spark, str(root), read_manifest(spark, str(root / "metadata" / "list.json")), "/out").records.collect()
     assert [(r["article_id"], r["original_filename"], r["original_size"], r["content_file"]) for r in rows] == [("g-1", "a.png", [4, 2], "c")]
     assert rows[0]["processed_path"] == "/out/gossipcop/fake/g-1_a.png"
     keys = inventory_keys(image_paths(spark, str(root / "images")))

@@ -121,7 +121,7 @@ def finished(spark, tmp_path_factory):
     listed, linked = images(raw / "i"), article_images(raw / "ai")
     paths = Paths(str(out), {k: str(v) for k, v in corpora.items()}, str(listed), str(linked), str(linked / "metadata" / "list.json"))
     options = Options(image=ImageOptions((8, 8)), split=SplitOptions(n_folds=2))
-    run(spark, paths, options, ["text", "images", "metadata"])
+    run(spark, paths, options, ["text", "fetches", "images", "metadata"])
     return paths, options
 
 
@@ -138,6 +138,31 @@ def test_run_writes_metadata(spark, finished):
     assert spark.read.option("header", True).csv(paths.table("metadata", "corpora", "threads")).count() == 7
 
 
+def test_run_writes_fetches_and_reports(spark, finished):
+    paths, options = finished
+    read = lambda *names: spark.read.parquet(paths.table(*names))
+    assert {(r["image_id"], r["bucket"]) for r in read("fetches", "images").collect()} >= {("i4", "real"), ("i5", "unknown")}
+    listed = spark.read.option("header", True).csv(paths.table("fetches", "image_list"))
+    assert listed.columns == ["image_id", "image_url", "annotation", "event"] and listed.count() == 6
+    fetches = {(r["article_id"], r["url"]) for r in read("fetches", "article_images").collect()}
+    assert ("g-1", "http://x.org/1.png") in fetches and ("p-5", "http://x.org/in.png") in fetches
+    (entry,) = spark.read.json(paths.table("fetches", "article_manifest")).collect()
+    assert (entry["article_id"], entry["image_count"], entry["chunk"], entry["images"]) == ("g-1", 2, 0, ["a.png", "b.png"])
+    assert entry["content_file"] == f"{paths.corpora['articles']}/gossipcop/fake/g-1/news content.json"
+    counts = {n: read("reports", "items", n).first().asDict() for n in ("statements", "threads", "articles")}
+    assert [counts[n]["items"] for n in counts] == [5, 7, 4]
+    assert (counts["threads"]["rumors"], counts["threads"]["non_rumors"]) == (5, 2)
+    assert {r["split"]: r["n"] for r in read("reports", "parts", "statements").collect()} == {"train": 2, "valid": 2, "test": 1}
+    rejected = {(r["article_id"], r["reason"]) for r in read("reports", "rejected", "articles").collect()}
+    assert rejected == {("p-2", "no text"), ("p-3", "unreadable content"), ("p-4", "no text")}
+    assert read("reports", "rejected", "threads").count() > 0
+    # Without a manifest of its own the article corpus takes the written one.
+    other = Paths(paths.output, paths.corpora, article_images=paths.article_images)
+    before = spark.read.parquet(paths.table("images", "articles")).count()
+    run(spark, other, options, ["images"])
+    assert spark.read.parquet(paths.table("images", "articles")).count() == before
+
+
 def test_run_writes_integrated_tables(spark, finished):
     paths, _ = finished
     simple = spark.read.parquet(paths.table("integrated", "simplified"))
@@ -169,6 +194,9 @@ def test_run_writes_splits(spark, finished):
     aware = spark.read.parquet(paths.table("many", "splits", "source_aware"))
     assert {r[0] for r in aware.select("source").distinct().collect()} >= {"statements", "threads", "gossipcop"}
     assert spark.read.parquet(paths.table("many", "splits", "folds")).select("fold").distinct().count() == 2
+    for report in (("stratified", "label"), ("source_aware", "source"), ("source_aware", "label"), ("folds",)):
+        table = spark.read.parquet(paths.table("many", "reports", "splits", *report))
+        assert table.agg(F.sum("n")).first()[0] == aware.agg(F.sum("copies")).first()[0] * (2 if report == ("folds",) else 1)
 
 
 def test_simplify_matches_each_kind_of_image(spark):

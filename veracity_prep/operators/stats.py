@@ -78,15 +78,20 @@ def dataset_statistics(metadata: DataFrame) -> DataFrame:
     return counted.select(name.alias("dataset"), F.explode(entries).alias("_e")).select("dataset", "_e.*")
 
 
-def thread_statistics(threads: DataFrame) -> DataFrame:
-    """Rumours, non-rumours and the three verdicts over all threads, as one row."""
-    return threads.agg(
+def thread_counts() -> list[Column]:
+    """Rumours, non-rumours and the three verdicts."""
+    return [
         _n(F.col("is_rumor")).alias("rumors"),
         _n(~F.col("is_rumor")).alias("non_rumors"),
         _n(F.col("label") == "true").alias("true"),
         _n(F.col("label") == "false").alias("false"),
         _n(F.col("label") == "unverified").alias("unverified"),
-    )
+    ]
+
+
+def thread_statistics(threads: DataFrame) -> DataFrame:
+    """:func:`thread_counts` over all threads, as one row."""
+    return threads.agg(*thread_counts())
 
 
 def part_counts(df: DataFrame, *parts: str) -> DataFrame:

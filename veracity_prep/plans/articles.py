@@ -53,12 +53,23 @@ def parsed_articles(contents: DataFrame) -> DataFrame:
     return parse_once(contents, KEYS, "value", "_content")
 
 
+def raw_article_text() -> Column:
+    """Text of a parsed article, from its fallback where it has none."""
+    v = F.col("_content")
+    return article_text(_text(v, "text"), _text(v, "title"), _text(v, "meta_description"))
+
+
+def rejected_articles(files: ArticleFiles) -> DataFrame:
+    """Articles that yield no item, with the reason: ``source, label, article_id, reason``."""
+    unreadable = F.when(F.col("_content").isNull(), "unreadable content").otherwise("no text")
+    return parsed_articles(files.contents).where(raw_article_text().isNull()).select(*KEYS, unreadable.alias("reason"))
+
+
 def build_articles(files: ArticleFiles, options: Options | None = None, lexicon: DataFrame | None = None) -> DataFrame:
     """Processed articles."""
     options = options or Options()
     v = F.col("_content")
-    raw = article_text(_text(v, "text"), _text(v, "title"), _text(v, "meta_description"))
-    articles = parsed_articles(files.contents).withColumn("raw_text", raw).where("raw_text is not null")
+    articles = parsed_articles(files.contents).withColumn("raw_text", raw_article_text()).where("raw_text is not null")
     done = preprocess(articles, "raw_text", "processed_text", options.text, lexicon, KEYS)
     images = declared_image_urls(_list(v, "images"), _text(v, "image"))
     metadata = F.struct(

@@ -18,7 +18,6 @@ from veracity_prep.sources.images import (
     decode_images,
     image_paths,
     read_image_list,
-    read_manifest,
     read_tweet_images,
 )
 
@@ -118,6 +117,11 @@ def build_article_images(manifest: DataFrame, properties: DataFrame, root: str,
     )
 
 
+def plain_root(root: str) -> str:
+    """A directory as the listings spell it."""
+    return re.sub("^file:/+", "/", root)
+
+
 class LoadedImages(NamedTuple):
     """Processed images of a corpus, and the decoded files they are made of."""
 
@@ -149,12 +153,14 @@ def load_listed_images(
 
 
 def load_article_images(
-    spark: SparkSession, path: str, manifest: str, output: str, table: str | None = None, options: ImageOptions | None = None
+    spark: SparkSession, path: str, entries: DataFrame, output: str, table: str | None = None, options: ImageOptions | None = None
 ) -> LoadedImages:
-    """Processed images of a directory ``images/<publisher>/<label>/<article>/`` and its manifest; files that no entry names stay closed."""
+    """Processed images of a directory ``images/<publisher>/<label>/<article>/`` and the entries of its manifest.
+
+    Files that no entry names stay closed; ``table`` as in :func:`load_listed_images`.
+    """
     root = f"{path}/images"
-    listing = image_paths(spark, root)
-    entries, plain = read_manifest(spark, manifest), re.sub("^file:/+", "/", root)
+    listing, plain = image_paths(spark, root), plain_root(root)
     wanted = existing_entries(manifest_paths(entries, plain), listing).select("path").join(listing, "path")
     decoded = decode_images(spark, wanted, table or shared_path(spark, "decoded"), options)
     return LoadedImages(build_article_images(entries, decoded.drop("pixels"), plain, output), decoded)

@@ -6,31 +6,45 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veracity_prep import schemas
 from veracity_prep.operators.metadata import article_image_links
-from veracity_prep.operators.splits import make_splits
-from veracity_prep.operators.stats import dataset_statistics
+from veracity_prep.operators.splits import fold_report, make_splits, split_report
+from veracity_prep.operators.stats import dataset_statistics, part_counts, thread_counts
 from veracity_prep.options import Options
-from veracity_prep.plans.articles import build_articles, load_articles
+from veracity_prep.plans.articles import article_image_plan, article_image_urls, build_articles, load_articles, rejected_articles
 from veracity_prep.plans.image_corpora import (
+    IMAGE_LIST_FILE,
     TWEET_LIST_FILE,
+    article_manifest,
     image_tweets,
+    inventory_keys,
     list_candidates,
+    listed_image_plan,
     load_article_images,
     load_listed_images,
     pixels_of,
+    plain_root,
 )
 from veracity_prep.plans.integrate import ARTICLES, IMAGES, TEXT_KEYS, build_metadata, integrate, simplify
 from veracity_prep.plans.statements import load_statements
-from veracity_prep.plans.threads import build_threads, load_threads
+from veracity_prep.plans.threads import build_threads, load_threads, rejected_threads
 from veracity_prep.sources.articles import compact_articles
-from veracity_prep.sources.images import read_tweet_images
-from veracity_prep.sources.processed import image_summary, read_buckets, read_existing, read_table, write_buckets, write_table
+from veracity_prep.sources.images import image_paths, read_image_list, read_manifest, read_tweet_images
+from veracity_prep.sources.processed import (
+    image_summary,
+    read_buckets,
+    read_existing,
+    read_table,
+    write_buckets,
+    write_counted,
+    write_table,
+)
 from veracity_prep.sources.threads import compact_threads
 
-STAGES = ("text", "images", "metadata", "splits")
+STAGES = ("text", "fetches", "images", "metadata", "splits")
 
 
 @dataclass(frozen=True)
@@ -38,7 +52,8 @@ class Corpus:
     """A text corpus: how to load it from a path, how its table is partitioned, and its schema.
 
     A corpus of many small files also has ``compact``, which brings a table of them up to date and returns its files by
-    role, and ``build``, which makes the corpus from those. :func:`run` then reads new files only.
+    role, and ``build``, which makes the corpus from those. :func:`run` then reads new files only. ``rejected`` names the
+    files that yield no item, and ``counts`` are aggregates over the items; both are reported.
     """
 
     load: Callable[..., DataFrame]
@@ -46,6 +61,8 @@ class Corpus:
     schema: str = ""
     compact: Callable[[SparkSession, str, str], Any] | None = None
     build: Callable[..., DataFrame] | None = None
+    rejected: Callable[[Any], DataFrame] | None = None
+    counts: Callable[[], list[Column]] = list
 
 
 CORPORA: dict[str, Corpus] = {}
@@ -61,13 +78,24 @@ def register_corpus(name: str, corpus: Corpus) -> None:
 
 
 register_corpus("statements", Corpus(load_statements, ("split",), schemas.STATEMENT))
-register_corpus("threads", Corpus(load_threads, ("event",), schemas.THREAD, compact_threads, build_threads))
-register_corpus(ARTICLES, Corpus(load_articles, ("source", "original_label"), schemas.ARTICLE, compact_articles, build_articles))
+register_corpus(
+    "threads",
+    Corpus(load_threads, ("event",), schemas.THREAD, compact_threads, build_threads, rejected_threads, thread_counts),
+)
+register_corpus(
+    ARTICLES,
+    Corpus(
+        load_articles, ("source", "original_label"), schemas.ARTICLE, compact_articles, build_articles, rejected_articles
+    ),
+)
 
 
 @dataclass(frozen=True)
 class Paths:
-    """Where inputs lie and outputs go. ``corpora`` maps corpus names to their raw directories."""
+    """Where inputs lie and outputs go. ``corpora`` maps corpus names to their raw directories.
+
+    ``article_manifest`` is a JSON array; without one, the manifest of the stage ``fetches`` is used.
+    """
 
     output: str
     corpora: dict[str, str]
@@ -83,10 +111,36 @@ def _write_text(spark: SparkSession, paths: Paths, options: Options, lexicon: Da
     for name, path in paths.corpora.items():
         corpus = CORPORA[name]
         if corpus.compact and corpus.build:
-            items = corpus.build(corpus.compact(spark, path, paths.table("files", name)), options, lexicon)
+            files = corpus.compact(spark, path, paths.table("files", name))
+            items = corpus.build(files, options, lexicon)
+            if corpus.rejected:
+                write_table(corpus.rejected(files), paths.table("reports", "rejected", name))
         else:
             items = corpus.load(spark, path, options, lexicon)
-        write_table(items, paths.table("text", name), *corpus.parts)
+        counts = [F.count(F.lit(1)).alias("items"), *corpus.counts()]
+        report = write_counted(items, paths.table("text", name), *corpus.parts, counts=counts)
+        write_table(report, paths.table("reports", "items", name))
+        if corpus.parts:
+            done = part_counts(read_existing(spark, paths.table("text", name)), *corpus.parts)
+            write_table(done, paths.table("reports", "parts", name))
+
+
+def _write_fetches(spark: SparkSession, paths: Paths, options: Options) -> None:
+    if paths.listed_images:
+        listed = read_image_list(spark, *list_candidates(paths.listed_images, IMAGE_LIST_FILE))
+        root = f"{paths.listed_images}/images"
+        write_table(listed, paths.table("fetches", "image_list"), fmt="csv")
+        plan = listed_image_plan(listed, plain_root(root), image_paths(spark, root))
+        write_table(plan, paths.table("fetches", "images"), "bucket")
+    if paths.article_images and ARTICLES in paths.corpora:
+        contents = compact_articles(spark, paths.corpora[ARTICLES], paths.table("files", ARTICLES)).contents
+        root = f"{paths.article_images}/images"
+        there = image_paths(spark, root)
+        plan = article_image_plan(article_image_urls(contents), plain_root(root), there)
+        write_table(plan, paths.table("fetches", "article_images"))
+        place = F.concat_ws("/", F.lit(paths.corpora[ARTICLES]), "source", "label", "article_id", "file")
+        manifest = article_manifest(inventory_keys(there), contents.withColumn("content_file", place), options.list_rows)
+        write_table(manifest, paths.table("fetches", "article_manifest"), fmt="json")
 
 
 def _write_images(spark: SparkSession, paths: Paths, options: Options) -> None:
@@ -103,11 +157,15 @@ def _write_images(spark: SparkSession, paths: Paths, options: Options) -> None:
         summary = image_summary(done, "image_id", "annotation", "event")
         write_table(summary, paths.table("images", "summary", IMAGES), fmt="csv")
         write_table(pixels_of(done, loaded.decoded, options.image), paths.table("images", "pixels", IMAGES))
-    if paths.article_images and paths.article_manifest:
+    if paths.article_images:
+        # Without a manifest of its own, the corpus has the one written from what is on disk.
+        own = paths.article_manifest is not None
+        entries = paths.article_manifest if own else paths.table("fetches", "article_manifest")
+        manifest = read_manifest(spark, entries, lines=not own)
         table = paths.table("images", ARTICLES)
         processed = paths.table("images", "pixels")
         kept = paths.table("files", "article_images")
-        loaded = load_article_images(spark, paths.article_images, paths.article_manifest, processed, kept, options.image)
+        loaded = load_article_images(spark, paths.article_images, manifest, processed, kept, options.image)
         write_table(loaded.records, table)
         ids = ("source", "label", "article_id", "original_filename")
         done = read_existing(spark, table)
@@ -154,7 +212,15 @@ def _write_metadata(spark: SparkSession, paths: Paths, options: Options) -> None
 def _write_splits(spark: SparkSession, paths: Paths, options: Options) -> None:
     metadata = read_existing(spark, paths.table("metadata", "combined"))
     for name, split in make_splits(metadata, options.split).items():
-        write_table(split, paths.table("splits", name), "fold" if name == "folds" else "split")
+        folds = name == "folds"
+        write_table(split, paths.table("splits", name), "fold" if folds else "split")
+        done = read_existing(spark, paths.table("splits", name))
+        if folds:
+            write_table(fold_report(done), paths.table("reports", "splits", name))
+            continue
+        for by in ("label", "source"):
+            if by in done.columns:
+                write_table(split_report(done, by), paths.table("reports", "splits", name, by))
 
 
 def run(
@@ -171,6 +237,8 @@ def run(
         raise ValueError(f"unknown stages: {sorted(unknown)}")
     if "text" in wanted:
         _write_text(spark, paths, options, lexicon)
+    if "fetches" in wanted:
+        _write_fetches(spark, paths, options)
     if "images" in wanted:
         _write_images(spark, paths, options)
     if "metadata" in wanted:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veracity_prep.functions.scores import has_tags, size_text, two_decimals
@@ -28,6 +28,14 @@ def write_table(df: DataFrame, path: str, *partitions: str, fmt: str = "parquet"
     writer.save(path)
 
 
+def write_counted(df: DataFrame, path: str, *partitions: str, counts: Sequence[Column], fmt: str = "parquet") -> DataFrame:
+    """Write a table and return the given aggregates over its rows as one row, both from the same pass."""
+    seen = Observation()
+    write_table(df.observe(seen, *counts), path, *partitions, fmt=fmt)
+    row = seen.get
+    return df.sparkSession.createDataFrame([tuple(row.values())], ", ".join(f"`{name}` bigint" for name in row))
+
+
 def write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
     """Write a table in buckets of its keys, sorted by them: one file for each bucket that has rows."""
     spark, name = df.sparkSession, f"written_{uuid.uuid4().hex}"
