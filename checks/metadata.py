@@ -163,7 +163,10 @@ _STATS = " UNION ALL ".join(
 )
 
 
-@query(f"WITH c AS ({COMBINED}) {_STATS}")
+STATISTICS = f"WITH c AS ({COMBINED}) {_STATS}"
+
+
+@query(STATISTICS)
 def statistics_of_datasets(t):
     return dataset_statistics(combined(t))
 
@@ -205,12 +208,12 @@ def records_sql(list_rows: int) -> str:
 RECORDS = records_sql(100_000)
 
 
-def _record(i):
+def record(i):
     return F.concat_ws(" ", i["path"], i["original_filename"], i["label"], F.array_join(i["original_size"].cast("array<string>"), "x"))
 
 
 def _by_article(t: Inputs, list_rows: int):
-    records = F.array_join(F.transform("items", _record), "|").alias("records")
+    records = F.array_join(F.transform("items", record), "|").alias("records")
     return article_image_records(article_images(t), list_rows).select("source", "article_id", F.col("item_count").alias("n"), "chunk", records)
 
 
@@ -278,5 +281,5 @@ def simplified_items(t):
         "dataset", "id", "source", "label", "text.raw_text", "text.processed_text",
         F.col("metadata.original_label").alias("original_label"), F.col("metadata.event").alias("event"),
         F.col("image_count").alias("n_images"),
-        F.array_join(F.transform("images", _record), "|").alias("images"),
+        F.array_join(F.transform("images", record), "|").alias("images"),
     )

@@ -126,9 +126,10 @@ def cross_validation_report(t):
     return fold_report(cross_validation_folds(items(t))).withColumn("share", F.round("share", 9))
 
 
-@query(
-    f"SELECT split, label, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY split), 9) AS share FROM ({STRATIFIED}) GROUP BY split, label"
-)
+REPORT_BY_LABEL = f"SELECT split, label, count(*) AS n, round(count(*) / sum(count(*)) OVER (PARTITION BY split), 9) AS share FROM ({STRATIFIED}) GROUP BY split, label"
+
+
+@query(REPORT_BY_LABEL)
 def split_report_by_label(t):
     return split_report(stratified_split(items(t))).withColumn("share", F.round("share", 9))
 

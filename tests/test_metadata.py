@@ -14,6 +14,7 @@ from veracity_prep.operators.stats import dataset_statistics, download_summary
 from veracity_prep.options import ImageOptions, Options, SplitOptions
 from veracity_prep.plans.image_corpora import article_manifest
 from veracity_prep.plans.integrate import TEXT_KEYS, IntegratedTables, article_image_records, build_metadata, corpus_texts, simplify
+from veracity_prep.plans.ledger import read_ledger
 from veracity_prep.plans.run import CORPORA, Corpus, Paths, register_corpus, run
 from veracity_prep.sources.images import manifest_images
 from veracity_prep.sources.processed import read_buckets, write_buckets
@@ -266,3 +267,33 @@ def test_positions_of_different_types_in_one_table(spark):
     for buckets in (0, 3):
         got = {tuple(r) for r in corpus_texts({"a": a, "b": b}, buckets).collect()}
         assert got == {("a", "1", "y", "Y"), ("b", "1", "p", "")}
+
+
+def test_ledger_of_stages(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "train.tsv").write_text("1.json\ttrue\tone" + "\t" * 11 + "\n")
+    paths = Paths(str(tmp_path / "out"), {"statements": str(tmp_path / "in")})
+    lexicon = spark.createDataFrame([("one", "1")], "form string, lemma string")
+    go = lambda stages, options=None, words=None: run(spark, paths, options, stages, words, resume=True)
+    assert go(["text", "metadata"]) == ["text", "metadata"] and go(["text", "metadata"]) == []
+    assert go(["text"], Options(reaction_cut=3)) == ["text"]
+    # Its output is new, so the stage after it has new inputs.
+    assert go(["metadata"], Options(reaction_cut=3)) == ["metadata"]
+    assert go(["text"], Options(reaction_cut=3), lexicon) == ["text"] and go(["text"], Options(reaction_cut=3), lexicon) == []
+    (tmp_path / "in" / "test.tsv").write_text("2.json\ttrue\ttwo" + "\t" * 11 + "\n")
+    assert go(["text"], Options(reaction_cut=3), lexicon) == ["text"]
+    entries = read_ledger(spark, paths.table("ledger")).where("stage = 'text'").orderBy("finished").collect()
+    assert [r["files"] for r in entries] == [1, 1, 1, 2] and len({r["fingerprint"] for r in entries}) == 4
+
+    def broken(spark, path, options, lexicon):
+        raise RuntimeError("lost")
+
+    register_corpus("broken", Corpus(broken))
+    try:
+        other = Paths(str(tmp_path / "other"), {"broken": str(tmp_path / "in")})
+        for _ in range(2):  # what failed isn't in the ledger, so it is tried again
+            with pytest.raises(RuntimeError, match="lost"):
+                run(spark, other, stages=["text"], resume=True)
+        assert read_ledger(spark, other.table("ledger")).count() == 0
+    finally:
+        del CORPORA["broken"]

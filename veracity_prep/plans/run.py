@@ -29,6 +29,7 @@ from veracity_prep.plans.image_corpora import (
     plain_root,
 )
 from veracity_prep.plans.integrate import ARTICLES, IMAGES, TEXT_KEYS, build_metadata, integrate, simplify
+from veracity_prep.plans.ledger import commit, fingerprint, is_done
 from veracity_prep.plans.statements import load_statements
 from veracity_prep.plans.threads import build_threads, load_threads, rejected_threads
 from veracity_prep.sources.articles import compact_articles
@@ -223,25 +224,53 @@ def _write_splits(spark: SparkSession, paths: Paths, options: Options) -> None:
                 write_table(split_report(done, by), paths.table("reports", "splits", name, by))
 
 
+def _inputs(paths: Paths, options: Options, stage: str) -> tuple[list[str], object]:
+    """Roots a stage reads, and the settings it depends on."""
+    images = [p for p in (paths.listed_images, paths.article_images) if p]
+    own = [paths.article_manifest] if paths.article_manifest else [paths.table("fetches", "article_manifest")]
+    articles = [paths.corpora[ARTICLES]] if ARTICLES in paths.corpora else []
+    of_stage = {
+        "text": ([*paths.corpora.values()], (options.text, options.reaction_cut)),
+        "fetches": ([*images, *articles], options.list_rows),
+        "images": ([*images, *own], (options.image, options.list_rows)),
+        "metadata": ([paths.table("text"), paths.table("images")], (options.list_rows, options.buckets)),
+        "splits": ([paths.table("metadata", "combined")], options.split),
+    }
+    roots, settings = of_stage[stage]
+    return roots, (paths, settings)
+
+
 def run(
     spark: SparkSession,
     paths: Paths,
     options: Options | None = None,
     stages: Iterable[str] = ("all",),
     lexicon: DataFrame | None = None,
-) -> None:
-    """Run the chosen stages (``all`` for every one). Each stage reads what the one before it wrote."""
+    resume: bool = False,
+) -> list[str]:
+    """Run the chosen stages (``all`` for every one) and return those that had work to do.
+
+    Each stage reads what the one before it wrote, and is noted in the table ``ledger`` with a fingerprint of its inputs
+    once it is finished. With ``resume`` a stage whose inputs and settings are those of its last finish is skipped.
+    """
     options = options or Options()
     wanted = set(STAGES) if "all" in (chosen := set(stages)) else chosen
     if unknown := wanted - set(STAGES):
         raise ValueError(f"unknown stages: {sorted(unknown)}")
-    if "text" in wanted:
-        _write_text(spark, paths, options, lexicon)
-    if "fetches" in wanted:
-        _write_fetches(spark, paths, options)
-    if "images" in wanted:
-        _write_images(spark, paths, options)
-    if "metadata" in wanted:
-        _write_metadata(spark, paths, options)
-    if "splits" in wanted:
-        _write_splits(spark, paths, options)
+    work = {
+        "text": lambda: _write_text(spark, paths, options, lexicon),
+        "fetches": lambda: _write_fetches(spark, paths, options),
+        "images": lambda: _write_images(spark, paths, options),
+        "metadata": lambda: _write_metadata(spark, paths, options),
+        "splits": lambda: _write_splits(spark, paths, options),
+    }
+    done = []
+    for stage in (s for s in STAGES if s in wanted):
+        tables = [lexicon] if stage == "text" and lexicon is not None else []
+        mark, files = fingerprint(spark, *_inputs(paths, options, stage), tables)
+        if resume and is_done(spark, paths.table("ledger"), stage, mark):
+            continue
+        work[stage]()
+        commit(spark, paths.table("ledger"), stage, mark, files)
+        done.append(stage)
+    return done
