@@ -8,10 +8,11 @@ from checks.images import PLAN
 from checks.metadata import COMBINED, RECORDS, STATISTICS, TEXTS, article_images, corpora
 from checks.metadata import record as image_record
 from checks.splits import REPORT_BY_LABEL, STRATIFIED, items
-from checks.tables import IMAGE_LINES, TWEET_LINES, Inputs, query
+from checks.statements import SCORE, TOTAL, statements
+from checks.tables import IMAGE_LINES, STATEMENTS, TWEET_LINES, Inputs, query
 from veracity_prep.options import Options
 from veracity_prep.plans.ledger import read_ledger
-from veracity_prep.plans.run import Paths, run
+from veracity_prep.plans.run import CORPORA, Corpus, Paths, register_corpus, run
 from veracity_prep.schemas import EXIF_TYPE
 from veracity_prep.sources.processed import write_table
 
@@ -95,3 +96,30 @@ def run_resumes_where_inputs_changed(t):
     tables = [t.spark.read.parquet(paths.table(*w)).select(F.lit(stage).alias("stage")) for stage, w in written.items()]
     rows = tables[0].unionByName(tables[1]).groupBy("stage").agg(F.count(F.lit(1)).alias("n"))
     return finished.join(rows, "stage").select("stage", "finished", "n")
+
+
+# Documents as a corpus of their own, whose fields clash in type with those of the statements.
+NOTES = """SELECT concat('n', CAST(doc_id AS STRING)) AS id, 'true' AS label, text AS raw_text, lang AS processed_text, doc_id AS position, n_chars AS reliability_score,
+    concat('about ', CAST(n_chars AS STRING)) AS total_statements, n_chars > 1000 AS context FROM {documents} WHERE doc_id IS NOT NULL"""
+
+
+@query(
+    f"""SELECT dataset, id, score, total_statements, context FROM (
+        SELECT 'statements' AS dataset, id, CAST({SCORE} AS DOUBLE) AS score, CAST({TOTAL} AS VARCHAR) AS total_statements, context FROM ({STATEMENTS})
+        UNION ALL SELECT 'notes', id, CAST(reliability_score AS DOUBLE), total_statements, CAST(context AS VARCHAR) FROM ({NOTES}))"""
+)
+def run_unites_clashing_corpora(t):
+    """A registered corpus whose number, text and flag fields have other types than the fields of the same names."""
+    fields = F.struct("reliability_score", "total_statements", "context").alias("metadata")
+    load = lambda spark, path, options, lexicon: t.adapt(NOTES).select("id", "label", "raw_text", "processed_text", "position", fields)
+    register_corpus("notes", Corpus(load))
+    try:
+        paths = Paths(t.shared_folder(), {"statements": "", "notes": "unread"})
+        write_table(statements(t), paths.table("text", "statements"), "split")
+        notes = Paths(paths.output, {"notes": "unread"})
+        run(t.spark, notes, Options(), ["text"])
+        run(t.spark, paths, Options(), ["metadata"])
+    finally:
+        del CORPORA["notes"]
+    combined = t.spark.read.parquet(paths.table("metadata", "combined"))
+    return combined.select(F.col("dataset").cast("string"), "id", F.round("reliability_score", 9).alias("score"), "total_statements", "context")

@@ -3,13 +3,16 @@
 import json
 import re
 from collections import Counter
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegerType, LongType, NullType, StringType
 from trees import article_images, articles, images, statements, threads
 
 from veracity_prep.operators.lists import chunked_lists, first_chunks
-from veracity_prep.operators.metadata import article_image_links, flat_metadata, last_by_key, link_images, union_corpora
+from veracity_prep.operators.metadata import article_image_links, common_type, flat_metadata, last_by_key, link_images, union_corpora
 from veracity_prep.operators.stats import dataset_statistics, download_summary
 from veracity_prep.options import ImageOptions, Options, SplitOptions
 from veracity_prep.plans.image_corpora import article_manifest
@@ -297,3 +300,19 @@ def test_ledger_of_stages(spark, tmp_path):
         assert read_ledger(spark, other.table("ledger")).count() == 0
     finally:
         del CORPORA["broken"]
+
+
+def test_corpora_with_clashing_types(spark):
+    a = spark.createDataFrame([(1, 2, 1.5, "x", True, date(2020, 1, 2), [1], None)], "id int, n smallint, s float, t string, f boolean, d date, l array<int>, v void")
+    b = spark.createDataFrame([(2**40, 7, 3, 5, "no", datetime(2020, 1, 2, 3), "plain", Decimal("1.25"))], "ID bigint, n int, s bigint, t int, f string, d timestamp, l string, v decimal(5,2)")
+    c = spark.createDataFrame([(Decimal("2.5"), 9, {"k": 1})], "v decimal(9,4), id smallint, extra map<string,int>")
+    out = union_corpora([a, b, c])
+    assert out.schema.simpleString() == (
+        "struct<id:bigint,n:int,s:double,t:string,f:string,d:timestamp,l:string,v:decimal(38,4),extra:map<string,int>>"
+    )
+    rows = {r["id"]: r for r in out.collect()}
+    assert tuple(rows[1])[1:5] == (2, 1.5, "x", "true") and (rows[1]["l"], rows[1]["v"], rows[1]["extra"]) == ("[1]", None, None)
+    assert tuple(rows[2**40])[1:5] == (7, 3.0, "5", "no") and (rows[2**40]["l"], rows[2**40]["v"]) == ("plain", Decimal("1.25"))
+    assert (rows[9]["v"], rows[9]["extra"], rows[9]["t"]) == (Decimal("2.5"), {"k": 1}, None)
+    assert [type(common_type(t)).__name__ for t in ([LongType(), FloatType()], [IntegerType(), DecimalType(5, 1)], [NullType()], [DoubleType(), StringType()])] == [
+        "DoubleType", "DecimalType", "NullType", "StringType"]

@@ -7,7 +7,24 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
+from pyspark.sql.types import (
+    ArrayType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    NullType,
+    ShortType,
+    StringType,
+    StructType,
+    TimestampType,
+    VariantType,
+)
 
 from veracity_prep.operators.lists import chunked_lists, first_chunks
 
@@ -82,12 +99,65 @@ def link_images(metadata: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+#: Numbers from narrow to wide.
+_NUMBERS = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType)
+
+
+def common_type(types: Iterable[DataType]) -> DataType:
+    """The narrowest type that holds the values of all: equal types stay, numbers widen (whole and broken numbers meet in
+    DOUBLE, decimals and whole numbers in a decimal), dates become timestamps, and all else meets in STRING.
+    """
+    found = list({t.json(): t for t in types if not isinstance(t, NullType)}.values())
+    if len(found) <= 1:
+        return found[0] if found else NullType()
+    kinds = {type(t) for t in found}
+    if kinds <= set(_NUMBERS):
+        whole = kinds <= set(_NUMBERS[:4])
+        widest = max(found, key=lambda t: _NUMBERS.index(type(t)))
+        return widest if whole or kinds <= set(_NUMBERS[4:]) else DoubleType()
+    if DecimalType in kinds and kinds <= {DecimalType, *_NUMBERS[:4]}:
+        return DecimalType(38, max(t.scale for t in found if isinstance(t, DecimalType)))
+    if kinds == {DateType, TimestampType}:
+        return TimestampType()
+    return StringType()
+
+
+def merged_columns(frames: Sequence[DataFrame]) -> dict[str, DataType]:
+    """Columns of all frames with their common types, in order of first appearance; names differ by more than case."""
+    spelling: dict[str, str] = {}
+    types: dict[str, list[DataType]] = {}
+    for f in (f for frame in frames for f in frame.schema.fields):
+        name = spelling.setdefault(f.name.lower(), f.name)
+        types.setdefault(name, []).append(f.dataType)
+    return {name: common_type(t) for name, t in types.items()}
+
+
 def union_corpora(frames: Iterable[DataFrame]) -> DataFrame | None:
-    """Rows of all corpora, columns a corpus lacks are NULL; None when there is no corpus."""
+    """Rows of all corpora, columns a corpus lacks are NULL; None when there is no corpus.
+
+    A column whose type differs between corpora has the :func:`common_type`; nested values that become text are JSON.
+    """
     frames = list(frames)
     if not frames:
         return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    columns = merged_columns(frames)
+
+    def fitted(frame: DataFrame) -> DataFrame:
+        own = {f.name.lower(): f for f in frame.schema.fields}
+
+        def value(name: str, kind: DataType) -> Column:
+            field = own.get(name.lower())
+            if field is None:
+                return F.lit(None).cast(kind)
+            column = F.col(f"`{field.name}`")
+            if field.dataType == kind:
+                return column
+            nested = isinstance(field.dataType, _NESTED) and isinstance(kind, StringType)
+            return F.to_json(column) if nested else column.cast(kind)
+
+        return frame.select(*[value(n, k).alias(n) for n, k in columns.items()])
+
+    return reduce(DataFrame.unionByName, map(fitted, frames))
 
 
 def last_by_key(df: DataFrame, keys: Sequence[str], position: str, columns: Sequence[str]) -> DataFrame:
