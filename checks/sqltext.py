@@ -50,15 +50,31 @@ def clean_plain(e: str) -> str:
 
 
 def tokens(e: str) -> str:
-    """Words, marks and English clitics. Clitics are put between marker characters first, as there is no look-ahead here.
+    """Words, marks and the English rules. What the rules make is put between marker characters first, as there is no
+    look-ahead here.
 
-    A clitic takes the character after it along; another marker before every apostrophe keeps chains whole.
+    A clitic takes the character after it along; another marker before every apostrophe keeps chains whole. Marks of
+    several characters are single control characters meanwhile.
     """
-    t = sub(e, rf"(?i)(n't)([^{TOKEN}]|$)", "\x01\\1\x01\\2")
+    marks = (("``", 3), ("''''", 4), ("...", 5), ("--", 6))
+    t = sub(e, rf'(^|[{SPACE}(\[{{<])"', "\\1\x03")
+    t = f"replace({t}, '\"', chr(4))"
+    for text, mark in marks:
+        t = f"replace({t}, '{text}', chr({mark}))"
+    for first, second in (("can", "not"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("wan", "na")):
+        for _ in range(2):  # neighbours share the character between them
+            t = sub(t, rf"(?i)(^|[^{TOKEN}])({first})({second})([^{TOKEN}]|$)", "\\1\\2\x07\\3\\4")
+    for _ in range(2):
+        t = sub(t, rf"(?i)(^|[^{TOKEN}])(d')(ye)([^{TOKEN}]|$)", "\\1\x01\\2\x01\\3\\4")
+    t = sub(t, rf"(?i)('t)(is|was)([^{TOKEN}]|$)", "\x01\\1\x01\\2\\3")
+    t = sub(t, rf"(?i)(n't)([^{TOKEN}]|$)", "\x01\\1\x01\\2")
     t = f"replace({t}, chr(39), chr(2) || chr(39))"
-    t = sub(t, rf"(?i)('(?:s|m|d|ll|re|ve))([^{TOKEN}]|$)", "\x01\\1\x01\\2")
-    found = f"regexp_extract_all({t}, '\x01[^\x01]+\x01|[{TOKEN}]+|[^{TOKEN}{SPACE}\x01\x02]')"
-    return f"list_transform({found}, lambda x: replace(replace(x, chr(1), ''), chr(2), ''))"
+    t = sub(t, rf"(?i)('(?:s|m|d|ll|re|ve|n))([^{TOKEN}]|$)", "\x01\\1\x01\\2")
+    found = f"regexp_extract_all({t}, '\x01[^\x01]+\x01|[{TOKEN}]+|[^{TOKEN}{SPACE}\x01\x02\x07]')"
+    plain = "replace(replace(x, chr(1), ''), chr(2), '')"
+    for text, mark in marks:
+        plain = f"replace({plain}, chr({mark}), '{text}')"
+    return f"list_transform({found}, lambda x: {plain})"
 
 
 def stopped(tokens_sql: str, words) -> str:

@@ -143,6 +143,17 @@ def split_contractions(t):
     return t.adapt(CLITICS).select("conv_id", "turn", T.join_tokens(T.tokenize(F.col("text"))).alias("tokens"))
 
 
+# Turns inside quotation marks, with dashes, ellipses and words that are two tokens.
+RULED = """SELECT conv_id, turn, concat('"', text, '" -- ', role, '... ("I cannot cannot", she said: "Gonna ""go""?" WANNA gotta.... ---',
+    ' lemme gimme ''tis ''Twas d''ye scannot cannots more''n rock ''n roll ''''quoted'''' ``so`` "', CASE WHEN turn % 2 = 0 THEN text ELSE '' END, '"') AS text
+    FROM {conversations}"""
+
+
+@query(f"SELECT conv_id, turn, {S.joined(S.tokens('text'))} AS tokens FROM ({RULED})")
+def tokenize_with_rules(t):
+    return t.adapt(RULED).select("conv_id", "turn", T.join_tokens(T.tokenize(F.col("text"))).alias("tokens"))
+
+
 # A lexicon of the longer words of the benchmark texts.
 LEXICON = f"""SELECT DISTINCT form, substring(form, 1, 4) AS lemma FROM (
     SELECT unnest({S.tokens('text')}) AS form FROM {{benchmark}}) WHERE length(form) > 5"""

@@ -18,7 +18,7 @@ def test_statements(spark, tmp_path):
     rows = {(r["id"], r["split"]): r for r in items.collect()}
     assert set(rows) == {("1.json", "train"), ("2.json", "train"), ("3.json", "valid"), ("4.json", "valid"), ("1.json", "test")}
     first = rows["1.json", "train"]
-    assert first["processed_text"] == 'said [ NUMBER ] times " " [ URL ]'
+    assert first["processed_text"] == "said [ NUMBER ] times `` '' [ URL ]"
     assert (first["label"], first["original_label"]) == ("mixed", "half-true")
     m = first["metadata"]
     assert m["speaker_history"].asDict() == {"barely_true": 1, "false": 2, "half_true": 3, "mostly_true": 4, "pants_on_fire": 5}

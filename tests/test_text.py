@@ -179,3 +179,26 @@ def test_lexicons_of_any_size_give_the_same_rows(spark):
         assert sorted(repr((r["k"], r["w"])) for r in out.collect()) == expected
     assert frequent_words(df.limit(0), "w") == [] and frequent_words(df, "w")[0] == "the"
     assert lemmatize_by_join(df, "w", lexicon.limit(0), ["k"]).count() == len(rows)
+
+
+GOLDEN = {
+    'He said, "I cannot go."': "He said , `` I can not go . ''",
+    "They're gonna win... aren't they?": "They 're gon na win ... are n't they ?",
+    '("Stop!" -- he cried) [\"now\"]': "( `` Stop ! '' -- he cried ) [ `` now '' ]",
+    "'Tis more'n enough, d'ye see? 'Twas.": "'T is more 'n enough , d' ye see ? 'T was .",
+    "Gimme $3.50 & lemme be; I gotta, I WANNA": "Gim me $ 3 . 50 & lem me be ; I got ta , I WAN NA",
+    "cannots scannot canNOT Gonna-be": "cannots scannot can NOT Gon na - be",
+    "``old'' style '''s ....": "`` old '' style '' 's ... .",
+    'a "b" c"d"': "a `` b '' c '' d ''",
+    '""': "`` ''",
+    "no triggers here.": "no triggers here .",
+    "don't've y'all'd rock'n'roll": "do n't 've y ' all 'd rock 'n ' roll",
+}
+
+
+def test_golden_sentences(each):
+    from veracity_prep.functions.text import join_tokens, tokenize
+
+    assert dict(zip(GOLDEN, each(lambda c: join_tokens(tokenize(c)), list(GOLDEN)), strict=True)) == GOLDEN
+    plain = each(lambda c: join_tokens(tokenize(c, False)), ['"I cannot..."'])
+    assert plain == ['" I cannot . . . "']

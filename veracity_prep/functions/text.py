@@ -8,7 +8,9 @@ number or ``_``; a space is any Unicode white space or one of the four separator
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from html.entities import name2codepoint
+from operator import or_
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +44,26 @@ _NUMBER = rf"\p{{Nd}}(?<![{_WORD}]\p{{Nd}})\p{{Nd}}*+(?![{_WORD}])"
 _BLANKS = rf"(?U)[{_SPACE}]+"
 
 _TOKEN = rf"(?U)[{_TOKEN_WORD}]+|[^{_TOKEN_WORD}{_SPACE}]"
-_CONTRACTION_TOKEN = (
-    rf"(?iU)[{_TOKEN_WORD}]+?(?=n't(?![{_TOKEN_WORD}]))"
-    rf"|n't(?![{_TOKEN_WORD}])"
-    rf"|'(?:s|m|d|ll|re|ve)(?![{_TOKEN_WORD}])"
-    rf"|[{_TOKEN_WORD}]+|[^{_TOKEN_WORD}{_SPACE}]"
+_END = rf"(?![{_TOKEN_WORD}])"
+# English words that are two tokens, cut where the bar stands, and clitics.
+SPLIT_WORDS = ("can|not", "gim|me", "gon|na", "got|ta", "lem|me", "wan|na")
+CLITICS = ("s", "m", "d", "ll", "re", "ve", "n")
+# The rules of the lexer; the first that matches at a place wins.
+_RULES = (
+    r"``|''",  # double quotation marks, told apart before
+    r"\.\.\.|--",
+    "|".join("{0}(?={1}{2})".format(*w.split("|"), _END) for w in SPLIT_WORDS),
+    rf"d'(?=ye{_END})|'t(?=(?:is|was){_END})",
+    rf"[{_TOKEN_WORD}]+?(?=n't{_END})|n't{_END}",
+    rf"'(?:{'|'.join(CLITICS)}){_END}",
+    rf"[{_TOKEN_WORD}]+",
+    rf"[^{_TOKEN_WORD}{_SPACE}]",
 )
+_RULED_TOKEN = "(?iU)" + "|".join(_RULES)
+# What a text must hold for a rule beyond words and marks to apply.
+_TRIGGERS = ("'", '"', "``", "...", "--")
+# A double quotation mark opens at the start, after white space and after an opening bracket.
+_OPENING = rf'(?U)(?<![^{_SPACE}(\[{{<])"'
 
 # The English stopwords, lower case.
 ENGLISH_STOPWORDS = tuple(
@@ -166,13 +182,18 @@ def clean_text(c: Column) -> Column:
 def tokenize(c: Column, split_contractions: bool = True) -> Column:
     """Words and single punctuation marks, in order.
 
-    English clitics are tokens of their own (``do`` ``n't``, ``it`` ``'s``) unless ``split_contractions`` is off.
+    Unless ``split_contractions`` is off, English clitics are tokens of their own (``do`` ``n't``, ``it`` ``'s``), a few
+    words are two (``can`` ``not``, ``gon`` ``na``), three full stops and two hyphens are one, and a double quotation
+    mark becomes two back-quotes where it opens and two apostrophes where it closes.
     """
 
     def found(text: Column) -> Column:
-        # Without an apostrophe there is no clitic, and the plain pattern is faster.
+        # Most texts hold nothing that a rule waits for, and the plain pattern is faster.
         plain = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
-        return F.when(text.contains("'"), F.regexp_extract_all(text, F.lit(_CONTRACTION_TOKEN), F.lit(0))).otherwise(plain)
+        quoted = F.replace(F.regexp_replace(text, _OPENING, "``"), F.lit('"'), F.lit("''"))
+        ruled = F.regexp_extract_all(quoted, F.lit(_RULED_TOKEN), F.lit(0))
+        words = [F.lower(text).contains(w.replace("|", "")) for w in SPLIT_WORDS]
+        return F.when(reduce(or_, [*map(text.contains, _TRIGGERS), *words]), ruled).otherwise(plain)
 
     return bind(c, found) if split_contractions else F.regexp_extract_all(c, F.lit(_TOKEN), F.lit(0))
 
