@@ -126,6 +126,24 @@ def test_planted_benchmark_passages(spark):
     assert decontaminate.contaminated(docs.limit(0), benchmark).count() == 0
 
 
+def test_latent_space_has_every_passage(spark):
+    rng = random.Random(12)
+    texts = [" ".join(prose(rng, n)) for n in (1, 32, 33, 900, 5_000)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate([*texts, "", None])], "doc_id long, text string")
+    rows = []
+    for text in texts:
+        own = decontaminate.terms(decontaminate.word_hashes(text))
+        rows += [np.bincount(own[k : k + 32], minlength=decontaminate.TERMS) for k in range(0, len(own), 32)]
+    counts = np.array(rows)
+    lists = decontaminate.term_lists(docs)
+    frequencies, n = decontaminate.document_frequencies(lists)
+    assert n == len(rows) and (frequencies == (counts > 0).sum(0)).all()
+    idf = (np.log((n + 1) / (frequencies + 1)) + 0.05).astype(np.float32)
+    unit = counts * idf / np.sqrt((counts * np.square(idf)).sum(1))[:, None]
+    vectors = np.random.default_rng(3).standard_normal((decontaminate.TERMS, 5))
+    assert np.allclose(decontaminate.gram(lists, idf, vectors), unit.T @ (unit @ vectors), atol=1e-3)
+
+
 def test_repeated_passages(spark):
     rng = random.Random(9)
     passages = [" ".join(prose(rng, 70)) for _ in range(5)]

@@ -1,9 +1,9 @@
 """Benchmark passages in documents: latent semantic retrieval, then longest common subsequence and answer checks.
 
 Words are lower-case runs of letters and digits, hashed to ``TERMS`` terms. Document frequencies of the terms over all
-passages of all documents give the TF-IDF weights. A randomised SVD over a bounded, hash-chosen sample of passages
-(``BASIS`` documents, up to ``PASSAGES`` passages of each) gives the latent space: two distributed products with
-A^T A, each summed in a fixed number of parts, and a small eigenproblem on the driver. A few random directions are
+passages of all documents give the TF-IDF weights. A randomised SVD over all those passages gives the latent space: two
+distributed products with A^T A, and a small eigenproblem on the driver. The terms of each text are written once, two
+bytes each, for the frequencies and both products. A few random directions are
 added for what that space leaves out. Every window of every document
 is put into that space, whitened, and compared by cosine with the benchmark passages of its length class. Windows
 that share enough weighted terms with such a passage go on to the exact checks: the longest common subsequence of
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +36,8 @@ RANDOM = 16
 WIDTH = RANK + RANDOM
 #: Words of a block; windows are runs of so many blocks.
 STEP, RUNS = 8, (2, 4, 8)
-BASIS, PASSAGES, PARTS = 15_000, 16, 16
+#: Words of a passage.
+PASSAGE = STEP * RUNS[1]
 ITEMS, LEAST, ANSWER = 4_000, 6, 6
 COSINE, SHARED, STRONG, WEAK = 0.5, 0.45, 0.6, 0.4
 #: Words that are worked on at once.
@@ -130,23 +130,57 @@ def grouped(values: Iterator[str | None]) -> Iterator[list[np.ndarray]]:
         yield in_batches(held)
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Passages of ``STEP * RUNS[1]`` words that hold each term, over all documents, and the number of passages."""
-    words = STEP * RUNS[1]
+def term_lists(docs: DataFrame) -> DataFrame:
+    """``terms``: the terms of each whole text in their order, as little-endian 16-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, passages = np.zeros(TERMS, np.int64), 0
         for batch in batches:
             for texts in grouped(v.as_py() for v in batch.column(0)):
-                sizes = np.array([-(-len(t) // words) for t in texts])
-                first = np.cumsum(sizes) - sizes
-                keys = [(f + np.arange(len(t)) // words) * TERMS + terms(t) for f, t in zip(first, texts, strict=True)]
-                counts += np.bincount(np.unique(np.concatenate(keys)) % TERMS, minlength=TERMS)
-                passages += int(sizes.sum())
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(counts[seen], passages))], names=["term", "n"])
-
-    rows = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+                yield pa.RecordBatch.from_arrays([pa.array([terms(t).astype("<u2").tobytes() for t in texts if len(t)], pa.binary())], names=["terms"])
+
+    return cut(docs.select("text").mapInArrow(run, "terms binary"), "terms")
+
+
+def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Passages of ``term_lists``, a row each, filled up with ``TERMS``; about ``BLOCK`` words at once."""
+
+    def rows(held: list[np.ndarray]) -> np.ndarray:
+        sizes = np.array([-(-len(x) // PASSAGE) for x in held])
+        out = np.full(sizes.sum() * PASSAGE, TERMS, np.uint16)
+        first = (np.cumsum(sizes) - sizes) * PASSAGE
+        for at, x in zip(first, held, strict=True):
+            out[at : at + len(x)] = x
+        return out.reshape(-1, PASSAGE)
+
+    held, size, step = [], 0, BLOCK // PASSAGE * PASSAGE
+    for batch in batches:
+        for value in batch.column("terms"):
+            whole = np.frombuffer(value.as_py(), "<u2")
+            for k in range(0, len(whole), step):
+                held.append(whole[k : k + step])
+                size += len(held[-1])
+                if size >= BLOCK:
+                    yield rows(held)
+                    held, size = [], 0
+    if held:
+        yield rows(held)
+
+
+def document_frequencies(lists: DataFrame) -> tuple[np.ndarray, int]:
+    """Passages that hold each term, over all of ``term_lists``, and the number of passages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, n = np.zeros(TERMS + 1, np.int64), 0
+        for part in passages(batches):
+            part = np.sort(part, 1)
+            fresh = np.ones(part.shape, bool)
+            fresh[:, 1:] = part[:, 1:] != part[:, :-1]
+            counts += np.bincount(part[fresh], minlength=TERMS + 1)
+            n += len(part)
+        seen = np.flatnonzero(counts[:TERMS])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(seen, -1)), pa.array(np.append(counts[seen], n))], names=["term", "n"])
+
+    rows = lists.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(TERMS, np.int64)
     for row in rows:  # one row for each term, and one for the number of passages
         if row.term >= 0:
@@ -154,52 +188,36 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return counts, next((row.n for row in rows if row.term < 0), 0)
 
 
-def sampled_passages(docs: DataFrame) -> DataFrame:
-    """``part, terms``: passages of the documents that a hash of doc_id picks, evenly spaced in each."""
-    words, every = STEP * RUNS[1], max(1, docs.count() // BASIS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for value in batch.column(0):
-                own = terms(word_hashes(value.as_py()))
-                starts = range(0, len(own), words)
-                found += [own[k : k + words].tobytes() for k in starts[:: -(-len(starts) // PASSAGES) or 1]]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_64_intdigest(p) % PARTS for p in found], pa.int32()), pa.array(found, pa.binary())], names=["part", "terms"])
-
-    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
-    return cut(picked.mapInArrow(run, "part int, terms binary"), "passages")
-
-
-def gram(passages: DataFrame, idf: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """A^T A ``vectors`` for the unit TF-IDF rows A of ``passages``: partial sums by part, then by slice of terms."""
+def gram(lists: DataFrame, idf: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """A^T A ``vectors`` for the unit TF-IDF rows A of all passages: sums by task, then by slice of terms."""
     slices = 32
-    height = TERMS // slices
+    height, width = TERMS // slices, vectors.shape[1]
+    # Each occurrence counts once, so a term that occurs n times in a passage has weight n; TERMS has none.
+    weighted = np.concatenate([idf[:, None] * vectors, np.zeros((1, width))]).astype(np.float32)
+    squared = np.append(np.square(idf), 0).astype(np.float32)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(vectors.shape, np.float32)
-        for batch in batches:
-            rows = [np.frombuffer(x.as_py(), np.int32) for x in batch.column("terms")]
-            for start in range(0, len(rows), 4_096):
-                part = rows[start : start + 4_096]
-                flat, at = np.concatenate(part), np.cumsum([0, *map(len, part[:-1])])
-                of = np.repeat(np.arange(len(part)), [len(p) for p in part])
-                # Each occurrence counts once, so a term that occurs n times in a passage has weight n.
-                order = np.argsort(of * np.int64(TERMS) + flat, kind="stable")
-                squares = np.bincount(of[order], np.square(idf[flat[order]]), len(part))
-                y = np.add.reduceat(idf[flat][:, None] * vectors[flat], at, 0) / np.maximum(squares, 1e-9)[:, None]
-                order = np.argsort(flat, kind="stable")
-                cuts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-                seen = flat[order][cuts]
-                total[seen] += idf[seen][:, None] * np.add.reduceat(y[of[order]], cuts, 0)
+        total = np.zeros((TERMS + 1, width))
+        for part in passages(batches):
+            y, squares = weighted[part[:, 0]], squared[part[:, 0]]
+            for k in range(1, PASSAGE):
+                y += weighted[part[:, k]]
+                squares += squared[part[:, k]]
+            y = (y / np.maximum(squares, 1e-9)[:, None]).astype(float)
+            flat = part.ravel()
+            order = np.argsort(flat, kind="stable")
+            cuts = np.flatnonzero(np.diff(flat[order], prepend=np.uint16(TERMS + 1)))
+            total[flat[order][cuts]] += np.add.reduceat(y[order // PASSAGE], cuts, 0)
+        total = idf[:, None] * total[:TERMS]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(slices), pa.int32()), pa.array([total[k * height : (k + 1) * height].tobytes() for k in range(slices)], pa.binary())], names=["slice", "sums"])
 
     def added(key: tuple, table: pa.Table) -> pa.Table:
-        sums = sum(np.frombuffer(x.as_py(), np.float32).astype(float) for x in table.column("sums"))
+        sums = np.zeros(height * width)
+        for x in table.column("sums"):
+            sums += np.frombuffer(x.as_py())
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([sums.astype(np.float32).tobytes()], pa.binary())})
 
-    parts = passages.repartition(PARTS, "part").mapInArrow(partial, "slice int, sums binary")
-    rows = parts.groupBy("slice").applyInArrow(added, "slice int, sums binary").collect()
+    rows = lists.mapInArrow(partial, "slice int, sums binary").groupBy("slice").applyInArrow(added, "slice int, sums binary").collect()
     out = np.zeros(vectors.shape, np.float32)
     for row in rows:
         out[row["slice"] * height : (row["slice"] + 1) * height] = np.frombuffer(row.sums, np.float32).reshape(height, -1)
@@ -210,17 +228,17 @@ class Space:
     """IDF weights and the whitened latent vector of each term."""
 
     def __init__(self, docs: DataFrame):
-        counts, n = document_frequencies(docs)
+        lists = term_lists(docs)
+        counts, n = document_frequencies(lists)
         self.idf = np.log((n + 1) / (counts + 1)).astype(np.float32) + 0.05
         #: Terms with the rarer half of all occurrences.
         order = np.argsort(-self.idf)
         self.rare = np.zeros(TERMS, bool)
         self.rare[order[np.cumsum(counts[order]) <= counts.sum() / 2]] = True
-        passages = sampled_passages(docs)
         basis = np.random.default_rng(4).standard_normal((TERMS, RANK + EXTRA)).astype(np.float32)
         for _ in range(2):
             basis = np.linalg.qr(basis)[0].astype(np.float32)
-            product = gram(passages, self.idf, basis)
+            product = gram(lists, self.idf, basis)
             small = basis.T @ product
             basis, last = product, basis
         values, inner = np.linalg.eigh((small + small.T) / 2)
@@ -228,8 +246,8 @@ class Space:
         latent = last @ inner
         rest = np.random.default_rng(5).standard_normal((TERMS, RANDOM))
         rest -= latent @ (latent.T @ rest)
-        # Each direction has the same mass over the sample, whose rows have unit length.
-        left = max(passages.count() - values.sum(), 1.0)
+        # Each direction has the same mass over the passages, whose rows have unit length.
+        left = max(n - values.sum(), 1.0)
         vectors = self.idf[:, None] * np.concatenate([latent / np.sqrt(values), rest / np.sqrt(left)], 1)
         self.vectors = np.concatenate([vectors, np.zeros((1, WIDTH))]).astype(np.float32)
 
@@ -324,10 +342,7 @@ def search(texts: list[np.ndarray], space: Space, items: Items) -> list[list[dic
             likely = np.bitwise_count(around[block] & items.marks[item]).sum(1) >= least * items.bits[item] - 1
             block, item, least = block[likely], item[likely], least[likely]
             # Weight of the item's terms in the window and half a window on either side.
-            near = at[block][:, None] + np.arange(-STEP * run // 2, STEP * run * 3 // 2)[None, :]
-            inside = (near >= begins[of[block]][:, None]) & (near < stops[block][:, None])
-            held = np.where(inside, own[np.clip(near, 0, len(own) - 1)], -1)
-            for k in np.flatnonzero(shares(held, item, items) >= least):
+            for k in np.flatnonzero(shares(own, at[block] - STEP * run // 2, 2 * STEP * run, begins[of[block]], stops[block], item, items) >= least):
                 out_of, (item_id, words, weight, answer, answer_words) = of[block[k]], items.items[item[k]]
                 low_word = max(at[block[k]] - len(words), begins[out_of])
                 text = flat[low_word : min(at[block[k]] + STEP * run + len(words), stops[block[k]])]
@@ -338,15 +353,18 @@ def search(texts: list[np.ndarray], space: Space, items: Items) -> list[list[dic
     return [best_of(found) for found in out]
 
 
-def shares(held: np.ndarray, item: np.ndarray, items: Items) -> np.ndarray:
-    """Weight of the distinct terms in the rows of ``held`` that the row's item has, of the item's weight."""
-    found = np.zeros(len(held), np.float32)
-    for low in range(0, len(held), 20_000):
-        part = np.sort(held[low : low + 20_000], 1)
-        fresh = np.ones(part.shape, bool)
-        fresh[:, 1:] = part[:, 1:] != part[:, :-1]
-        weight = items.weights[item[low : low + 20_000][:, None], part] * (fresh & (part >= 0))
-        found[low : low + 20_000] = weight.sum(1) / np.maximum(items.totals[item[low : low + 20_000]], 1e-9)
+def shares(own: np.ndarray, at: np.ndarray, size: int, low: np.ndarray, high: np.ndarray, item: np.ndarray, items: Items) -> np.ndarray:
+    """Weight of the distinct terms in the ``size`` words from ``at`` on, within ``low`` and ``high``, that the item has, of the item's weight."""
+    found = np.zeros(len(at), np.float32)
+    for k in range(0, len(at), 5_000):  # candidates of frequent passages are many
+        part = slice(k, k + 5_000)
+        near = at[part][:, None] + np.arange(size)[None, :]
+        inside = (near >= low[part][:, None]) & (near < high[part][:, None])
+        held = np.sort(np.where(inside, own[np.clip(near, 0, len(own) - 1)], -1), 1)
+        fresh = np.ones(held.shape, bool)
+        fresh[:, 1:] = held[:, 1:] != held[:, :-1]
+        weight = items.weights[item[part][:, None], held] * (fresh & (held >= 0))
+        found[part] = weight.sum(1) / np.maximum(items.totals[item[part]], 1e-9)
     return found
 
 
