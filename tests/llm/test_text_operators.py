@@ -126,6 +126,12 @@ def test_proposals_learn_from_valid_spans(spark):
     assert all(s.startswith("phone:11:28") and "," not in s for k, s in spans.items() if k < 400)
 
 
+def test_examples_come_from_all_documents(spark):
+    docs = spark.range(2_600).selectExpr("id AS doc_id", "concat('write to user', id, '@host.org on day ', id, ' of it') AS text")
+    made = pii.examples_of(docs).where("origin = 'made'")
+    assert made.select("key").distinct().count() == 2_600
+
+
 def test_disguised_addresses_and_plain_numbers(spark):
     planted = {
         0: ("Write to jane.doe (at) mail dot example dot org today", "jane.doe (at) mail dot example dot org", "address"),

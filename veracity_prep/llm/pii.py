@@ -6,11 +6,10 @@ separators. Proposals overlap each other and the base spans. Gradient-boosted tr
 (length, digits, groups, separators, letters) and its context (words before and after, neighbouring characters), and
 are applied as column expressions. Only proposals that overlap no base span are ever added, so only such are examples:
 
-- positive: base e-mail addresses and phone numbers of a bounded sample of documents (``SAMPLE`` of those that have
-  proposals, half of them with an address or a number with +, by a hash of the text), each written in the forms of
-  ``DISGUISES`` and left in its context, as the generator finds it there;
-- negative: proposals of the sample that overlap no base span, unless they have the shape of a positive (such ones may
-  be what is looked for, and are no examples of either class);
+- positive: the base e-mail addresses and phone numbers of all documents, each written in the forms of ``DISGUISES``
+  and left in its context, as the generator finds it there;
+- negative: all proposals that overlap no base span, unless they have the shape of a positive (such ones may be what is
+  looked for, and are no examples of either class);
 - ``seeds``: a few hundred fixed examples of both classes, so that a small or a plain table has a model as well.
 
 The threshold of each generator is the lowest from 0.5 on at which ``PRECISION`` of the held-out proposals are
@@ -51,7 +50,7 @@ PROPOSED = {"address": ADDRESS, "number": NUMBER}
 HINTS = {"address": r"@|[(\[{<]\x20?(?i:at)\x20?[)\]}>]|\x20(?i:at)\x20[A-Za-z0-9-]+\x20(?i:dot)\x20", "number": r"[0-9](?:[\x20().-]{0,2}[0-9]){6}"}
 WORDS = r"(?i)mail|contact|write|tel|phone|call|mobile|fax|card|visa|account|iban|ssn|social|addr|host|server|\bip\b"
 
-SAMPLE, EXAMPLES, PRECISION = 4_000, 20_000, 0.98
+PRECISION = 0.98
 TREES, DEPTH, RATE = 12, 3, 0.3
 FEATURES = ("length", "digits", "groups", "dots", "dashes", "blanks", "brackets", "at", "plus", "letters", "last_digit", "word_before", "word_after", "tight_before", "tight_after", "longest", "first_group", "last_group", "at_word", "dot_word", "tail_letters", "sentence_end")
 
@@ -238,15 +237,15 @@ def examples_of(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.where("text is not null").select("text", F.xxhash64("text").alias("key"))
     hinted = texts.where(F.col("text").rlike(HINTS["number"]) | F.col("text").rlike(HINTS["address"]))
-    rich = F.contains("text", F.lit("@")) | F.col("text").rlike(r"\+[0-9]")
-    first = lambda some: some.select("key").distinct().orderBy("key").limit(SAMPLE // 2)
-    picked = first(hinted.where(rich)).unionByName(first(hinted.where(~rich)))
-    sample = with_candidates(hinted.join(F.broadcast(picked), "key"), "c_")
-    free = [sample.select("key", F.lit(k).alias("generator"), F.lit(0.0).alias("label"), F.explode(F.filter(f"c_{k}", lambda p: ~overlapping(p, F.col("c_base")))).alias("p")) for k in PROPOSED]
     shown = base_places(F.col("text"))
+    sources = {"email": "address", "phone": "number"}
+    found = with_candidates(hinted, "c_").select("key", "c_base", *(f"c_{k}" for k in PROPOSED), *(F.filter(places(shown[k]), checked(k)).alias(f"c_{k}") for k in sources))
+    # The matches are looked for once; what follows reads them.
+    found = cut(found, "candidates")
+    free = [found.select("key", F.lit(k).alias("generator"), F.lit(0.0).alias("label"), F.explode(F.filter(f"c_{k}", lambda p: ~overlapping(p, F.col("c_base")))).alias("p")) for k in PROPOSED]
     forms = []
-    for kind, generator in (("email", "address"), ("phone", "number")):
-        spans = sample.select("key", F.explode(F.filter(places(shown[kind]), checked(kind))).alias("s"))
+    for kind, generator in sources.items():
+        spans = found.select("key", F.explode(f"c_{kind}").alias("s"))
         form = F.explode(F.array(*in_disguise(kind, F.col("s.hit")))).alias("planted")
         forms.append(spans.select("key", F.lit(generator).alias("generator"), F.col("s.before").alias("before"), form, F.col("s.after").alias("after"), F.lit(1.0).alias("label")))
     fixed = spark.createDataFrame(seeds(), "generator string, before string, planted string, after string, label double")
@@ -257,8 +256,7 @@ def examples_of(docs: DataFrame) -> DataFrame:
     row = cut(row.distinct(), "proposals")  # a document and its copies count once
     known = row.where("label = 1").select("generator", "shape").distinct()
     unlike = row.where("origin = 'free'").join(known, ["generator", "shape"], "left_anti").select(row.columns)
-    bounded = lambda some: some.orderBy(F.xxhash64("key", *FEATURES), "shape").limit(EXAMPLES)
-    out = bounded(unlike).unionByName(bounded(row.where("origin = 'made'"))).unionByName(row.where("origin = 'fixed'"))
+    out = unlike.unionByName(row.where("origin <> 'free'"))
     return cut(out, "examples")
 
 
