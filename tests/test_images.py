@@ -162,3 +162,14 @@ def test_tag_job(spark):
     rows = {r["path"]: r["exif"] for r in image_tags(df).collect()}
     assert rows["a"]["Make"] == "Cam" and rows["b"] == rows["c"] == {}
     assert image_tags(df).select(F.size("exif")).schema.fields[0].dataType.typeName() == "integer"
+
+
+def test_weights_of_a_size_are_made_once(monkeypatch):
+    from veracity_prep.operators import images
+
+    made, plain = [], images.lanczos_weights
+    monkeypatch.setattr(images, "lanczos_weights", lambda size, target: made.append((size, target)) or plain(size, target))
+    known = {}
+    for k in range(5):
+        images.resample_pixels(bytes(range(k, k + 60)), 4, 5, 3, (7, 9), known)
+    assert sorted(made) == [(4, 9), (5, 7)]
