@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veracity_prep.llm.shared import fresh
+from veracity_prep.llm.shared import fresh, released
 
 #: White space as the vocabulary's normalizer takes it; Python's own set also has U+001C to U+001F.
 SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -217,7 +217,7 @@ def encode(text: Column, path: str) -> Column:
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = tables(path)
-        for batch in batches:
+        for batch in released(batches):
             yield pa.array((bpe.encode(t.as_py()) for t in batch), pa.binary(), size=len(batch))
 
     return run(text)
@@ -267,7 +267,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", keep_ids: bool =
                 decoded.update(part)
             return {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(), "decoded_sha256": decoded.hexdigest(), "token_ids": ids}
 
-        for batch in batches:
+        for batch in released(batches):
             yield pa.array((of(t.as_py()) for t in batch), kind, size=len(batch))
 
     digest = fresh(docs, "digest")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veracity_prep.llm.shared import cut
+from veracity_prep.llm.shared import cut, released
 
 TERMS, RANK, EXTRA = 1 << 14, 24, 8
 #: Random directions that stand for what the latent space leaves out: terms too rare for it still tell passages apart.
@@ -142,7 +142,7 @@ def term_lists(docs: DataFrame) -> DataFrame:
 
 
 def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Passages of ``term_lists``, a row each, filled up with ``TERMS``; about ``BLOCK`` words at once."""
+    """Passages of ``term_lists``, a row each, filled up with ``TERMS``; about a quarter of ``BLOCK`` words at once."""
 
     def rows(held: list[np.ndarray]) -> np.ndarray:
         sizes = np.array([-(-len(x) // PASSAGE) for x in held])
@@ -152,14 +152,14 @@ def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             out[at : at + len(x)] = x
         return out.reshape(-1, PASSAGE)
 
-    held, size, step = [], 0, BLOCK // PASSAGE * PASSAGE
+    held, size, step = [], 0, BLOCK // 4 // PASSAGE * PASSAGE
     for batch in batches:
         for value in batch.column("terms"):
             whole = np.frombuffer(value.as_py(), "<u2")
             for k in range(0, len(whole), step):
                 held.append(whole[k : k + step])
                 size += len(held[-1])
-                if size >= BLOCK:
+                if size >= step:
                     yield rows(held)
                     held, size = [], 0
     if held:
@@ -383,7 +383,7 @@ def leaks(text: Column, space: Space, rows: list) -> Column:
 
     @F.arrow_udf(FOUND)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in released(batches):
             found = [x for texts in grouped(v.as_py() for v in batch) for x in search(texts, space, items)]
             yield pa.array(found, kind)
 

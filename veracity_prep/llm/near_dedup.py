@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from veracity_prep.llm.shared import cut, fresh
+from veracity_prep.llm.shared import cut, fresh, released
 
 #: Base of the register steps, and rate of the exponential hash values: small sets stay clear of the lowest step.
 BASE, RATE, TOP = 1.02, 20.0, 65_534
@@ -115,7 +115,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
             )
 
         ids, sets, held = [], [], 0
-        for batch in batches:
+        for batch in released(batches):
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 ids.append(doc_id.as_py())
                 sets.append(shingle_set(text.as_py(), size))
@@ -133,7 +133,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     """id and the sorted 64-bit hashes of the whole set, of the rows (``id, set_key, text``) whose text has that key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 hashes = pa.array((shingle_set(t.as_py(), size).tobytes() for t in part.column(2)), pa.binary(), size=part.num_rows)

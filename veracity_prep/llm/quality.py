@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veracity_prep.llm.shared import released
+
 #: Bounds of the training sample: documents, and characters of all of them.
 SAMPLE, CHARACTERS = 2_500, 8_000_000
 #: Rounds of relabelling lines, gradient steps in each, weight decay.
 ROUNDS, STEPS, DECAY = 1, 120, 1e-3
 THRESHOLD = 0.3
 #: Characters that are worked on at once.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 OWN = ("length", "upper", "lower", "digit", "mark", "symbol", "other", "word_length", "few_words", "distinct", "again", "marked", "seen", "end", "repeating")
 #: Features of the neighbours: these of the line before and of the line after.
@@ -227,7 +229,7 @@ def score(text: Column, model: Model) -> Column:
 
     @F.arrow_udf("double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in released(batches):
             found, held, size = [np.zeros(0)], [], 0
             for value in batch:
                 held.append(value.as_py() or "")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,6 +31,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(batches: Iterator) -> Iterator:
+    """The same Arrow batches; what Arrow's pool keeps of finished ones goes back to the system, as workers are used again."""
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until ``df`` has no column of that name in any case."""
     taken = {c.lower() for c in df.columns}
