@@ -188,6 +188,25 @@ def document_frequencies(lists: DataFrame) -> tuple[np.ndarray, int]:
     return counts, next((row.n for row in rows if row.term < 0), 0)
 
 
+def row_sums(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each row of ``at``, the sum of the rows of ``table`` that it names, added from left to right."""
+    columns = np.ascontiguousarray(at.T).astype(np.intp)
+    out = table.take(columns[0], 0, mode="clip")
+    part = np.empty_like(out)
+    for column in columns[1:]:
+        out += table.take(column, 0, out=part, mode="clip")
+    return out
+
+
+def term_sums(part: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For each column of ``y`` and each term, the sum of the passages' values over the term's occurrences in ``part``.
+
+    One count with weights a column: sums by runs of sorted terms cost a call for each distinct term of a block.
+    """
+    flat = part.ravel().astype(np.intp)
+    return np.stack([np.bincount(flat, np.repeat(column, part.shape[1]), TERMS + 1) for column in y.T.astype(float, order="C")])
+
+
 def gram(lists: DataFrame, idf: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """A^T A ``vectors`` for the unit TF-IDF rows A of all passages: sums by task, then by slice of terms."""
     slices = 32
@@ -197,18 +216,11 @@ def gram(lists: DataFrame, idf: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     squared = np.append(np.square(idf), 0).astype(np.float32)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((TERMS + 1, width))
+        total = np.zeros((width, TERMS + 1))
         for part in passages(batches):
-            y, squares = weighted[part[:, 0]], squared[part[:, 0]]
-            for k in range(1, PASSAGE):
-                y += weighted[part[:, k]]
-                squares += squared[part[:, k]]
-            y = (y / np.maximum(squares, 1e-9)[:, None]).astype(float)
-            flat = part.ravel()
-            order = np.argsort(flat, kind="stable")
-            cuts = np.flatnonzero(np.diff(flat[order], prepend=np.uint16(TERMS + 1)))
-            total[flat[order][cuts]] += np.add.reduceat(y[order // PASSAGE], cuts, 0)
-        total = idf[:, None] * total[:TERMS]
+            y = row_sums(weighted, part) / np.maximum(row_sums(squared, part), 1e-9)[:, None]
+            total += term_sums(part, y)
+        total = idf[:, None] * total.T[:TERMS]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(slices), pa.int32()), pa.array([total[k * height : (k + 1) * height].tobytes() for k in range(slices)], pa.binary())], names=["slice", "sums"])
 
     def added(key: tuple, table: pa.Table) -> pa.Table:
@@ -319,9 +331,7 @@ def search(texts: list[np.ndarray], space: Space, items: Items) -> list[list[dic
     filled = np.full(len(of) * STEP, TERMS, np.int32)
     filled[np.arange(len(flat)) + np.repeat(first * STEP - begins, [len(t) for t in texts])] = own
     filled = filled.reshape(-1, STEP)
-    blocks = space.vectors[filled[:, 0]]
-    for k in range(1, STEP):
-        blocks += space.vectors[filled[:, k]]
+    blocks = row_sums(space.vectors, filled)
     sums = np.concatenate([np.zeros((1, WIDTH)), np.cumsum(blocks, 0, dtype=float)])
     ends, stops = (first + sizes)[of], (begins + [len(t) for t in texts])[of]
     signs = {1: marks(own, at, space)}
