@@ -8,7 +8,10 @@ from veracity_prep.operators.splits import source_aware_split
 from veracity_prep.operators.stats import dataset_statistics
 from veracity_prep.operators.text import preprocess
 from veracity_prep.options import Options, SplitOptions, TextOptions
+from veracity_prep.plans.articles import build_articles
+from veracity_prep.plans.statements import HISTORY_COLUMNS, build_statements
 from veracity_prep.plans.threads import first_reactions
+from veracity_prep.sources.articles import parse_article_files
 
 DOCUMENTS = "/root/testdata/sf0.001/documents.parquet"
 
@@ -23,6 +26,18 @@ def test_preprocessing_is_one_native_stage(spark):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
 
+def test_texts_are_dealt_out_before_they_are_cleaned(spark):
+    """Rows that come from a single task are cleaned by all, and moved once."""
+    texts = [F.lit(c).alias(c) for c in ("split", "label", "statement", "subject", "speaker", "job_title", "state_info", "party", "context")]
+    counts = [F.lit("1").alias(c) for c in HISTORY_COLUMNS.values()]
+    raw = spark.range(9).coalesce(1).select(F.col("id").cast("string"), F.struct("id").alias("position"), *texts, *counts)
+    text = plan(build_statements(raw))
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(position" in text
+    files = spark.createDataFrame([("/d/gossipcop/real/a1/news content.json", '{"text":"one two"}')], "path string, value string").coalesce(1)
+    text = plan(build_articles(parse_article_files(files)))
+    assert re.search(r"Exchange hashpartitioning\(source#\d+, label#\d+, article_id#\d+, \d+\), REPARTITION_BY_COL", text)
+
+
 def test_stemming_needs_no_shuffle(spark):
     text = plan(preprocess(spark.read.parquet(DOCUMENTS), "text", "processed", TextOptions(stemming=True)))
     assert "Exchange" not in text and "ArrowEvalPython" in text

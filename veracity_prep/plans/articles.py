@@ -66,10 +66,13 @@ def rejected_articles(files: ArticleFiles) -> DataFrame:
 
 
 def build_articles(files: ArticleFiles, options: Options | None = None, lexicon: DataFrame | None = None) -> DataFrame:
-    """Processed articles."""
+    """Processed articles.
+
+    Their files are dealt out before the texts are cleaned, as few tasks may read them; the join needs that anyway.
+    """
     options = options or Options()
     v = F.col("_content")
-    articles = parsed_articles(files.contents).withColumn("raw_text", raw_article_text()).where("raw_text is not null")
+    articles = parsed_articles(files.contents.repartition(*KEYS)).withColumn("raw_text", raw_article_text()).where("raw_text is not null")
     done = preprocess(articles, "raw_text", "processed_text", options.text, lexicon, KEYS)
     images = declared_image_urls(_list(v, "images"), _text(v, "image"))
     metadata = F.struct(

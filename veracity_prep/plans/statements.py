@@ -22,7 +22,11 @@ HISTORY_COLUMNS = {
 
 
 def build_statements(raw: DataFrame, options: Options | None = None, lexicon: DataFrame | None = None) -> DataFrame:
-    """Processed statements from raw rows that carry ``split`` and ``position``."""
+    """Processed statements from raw rows that carry ``split`` and ``position``.
+
+    The raw rows are dealt out first: they may come from few tasks (files that can't be split, a small side of a join), and
+    cleaning them takes far more time than moving them.
+    """
     options = options or Options()
     history = {name: count_or_zero(F.col(column)) for name, column in HISTORY_COLUMNS.items()}
     metadata = F.struct(
@@ -37,7 +41,7 @@ def build_statements(raw: DataFrame, options: Options | None = None, lexicon: Da
         speaker_total(history).alias("total_statements"),
         reliability_score(history).alias("reliability_score"),
     )
-    items = raw.select(
+    items = raw.repartition("position", "id").select(
         "id",
         "split",
         F.col("statement").alias("raw_text"),
